@@ -1,17 +1,19 @@
-"""SQL RANK() that never sends all rows of a group to one task.
+"""SQL RANK() and row numbering that never send all rows to one task.
 
 ``Window.orderBy(...)`` without ``partitionBy`` plans an
-``Exchange SinglePartition``: every row goes to one task. The rank of a row
-only depends on how many rows sort strictly before it, so we
-
-1. count rows per distinct (partition keys, sort keys) tuple, a partial
-   aggregate (map-side combined, so hot keys are reduced before the shuffle);
-2. run the window over those distinct tuples: the running count of earlier
-   tuples gives the rank. The window touches one row per distinct sort key,
-   not one per input row (for standings: distinct (points, goal difference,
-   goals) triples, a domain bounded by matches per season);
-3. join the rank back on the tuple (null-safe), where AQE broadcasts the
-   small tuple table or splits skewed partitions.
+``Exchange SinglePartition``: every row goes to one task. Instead:
+
+* rank only depends on how many rows sort strictly before a row, so rows
+  are first counted per distinct (partition keys, sort keys) tuple, a
+  partial aggregate that reduces hot keys before the shuffle;
+* a global (unpartitioned) order is handled by ``prefix_sum``: range-
+  partition, running sum inside each range, plus the total of all earlier
+  ranges; only one row per range partition is broadcast;
+* a partitioned rank runs its window over the distinct sort-key tuples of
+  each group (for standings: distinct (points, goal difference, goals)
+  triples of one season and league), never over raw rows;
+* the rank is joined back on the tuple (null-safe); AQE broadcasts the
+  tuple table when it is small or splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -27,6 +29,26 @@ def _sort_col(name: str, descending: bool) -> Column:
     return c.desc_nulls_last() if descending else c.asc_nulls_last()
 
 
+def prefix_sum(df: DataFrame, order: Sequence[Column], weight: Column, out: str) -> DataFrame:
+    """Add ``out`` = sum of ``weight`` over all rows strictly before each row.
+
+    Rows are range-partitioned on ``order``; each range is summed locally
+    and offset by the totals of the earlier ranges (one row per partition).
+    Ties on ``order`` must not occur (callers pass a unique order).
+    """
+    ranged = (df.withColumn("_w", weight).repartitionByRange(*order)
+              .withColumn("_pid", F.spark_partition_id()))
+    local_before = Window.partitionBy("_pid").orderBy(*order) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_local", F.coalesce(F.sum("_w").over(local_before), F.lit(0)))
+    totals = ranged.groupBy("_pid").agg(F.sum("_w").alias("_tot"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", F.coalesce(F.sum("_tot").over(earlier), F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offsets), "_pid")
+            .withColumn(out, (F.col("_local") + F.col("_off")).cast("long"))
+            .drop("_w", "_pid", "_local", "_off"))
+
+
 def rank_by(df: DataFrame, order: Sequence[tuple[str, bool]], partition_by: Sequence[str] = (),
             name: str = "rank") -> DataFrame:
     """Add ``name`` = RANK() OVER (PARTITION BY partition_by ORDER BY order).
@@ -35,11 +57,26 @@ def rank_by(df: DataFrame, order: Sequence[tuple[str, bool]], partition_by: Sequ
     """
     keys = list(partition_by) + [c for c, _ in order]
     tuples = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rank_n"))
-    before = (Window.partitionBy(*partition_by) if partition_by else Window) \
-        .orderBy(*[_sort_col(c, d) for c, d in order]) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    ranks = tuples.select(
-        *[F.col(k).alias(f"_rk_{i}") for i, k in enumerate(keys)],
-        (F.coalesce(F.sum("_rank_n").over(before), F.lit(0)) + 1).cast("long").alias(name))
+    sort = [_sort_col(c, d) for c, d in order]
+    if partition_by:
+        before = Window.partitionBy(*partition_by).orderBy(*sort) \
+            .rowsBetween(Window.unboundedPreceding, -1)
+        ranks = tuples.withColumn(
+            name, (F.coalesce(F.sum("_rank_n").over(before), F.lit(0)) + 1).cast("long"))
+    else:
+        ranks = prefix_sum(tuples, sort, F.col("_rank_n"), "_before") \
+            .withColumn(name, F.col("_before") + 1).drop("_before")
+    ranks = ranks.select(*[F.col(k).alias(f"_rk_{i}") for i, k in enumerate(keys)], name)
     cond = [df[k].eqNullSafe(ranks[f"_rk_{i}"]) for i, k in enumerate(keys)]
     return df.join(ranks, cond, "inner").drop(*[f"_rk_{i}" for i in range(len(keys))])
+
+
+def row_number_by(df: DataFrame, order: Sequence[tuple[str, bool]], name: str = "row_number"
+                  ) -> DataFrame:
+    """1..n over a global order (ROW_NUMBER() OVER (ORDER BY ...)), distributed.
+
+    ``order`` should be unique; ties get distinct numbers in arbitrary order.
+    """
+    sort = [_sort_col(c, d) for c, d in order]
+    return prefix_sum(df, sort, F.lit(1), "_before") \
+        .withColumn(name, F.col("_before") + 1).drop("_before")

@@ -112,7 +112,7 @@ class ProxyStar:
                         _int(F.year("o_orderdate") - SEASON_YEAR_OFFSET).alias("Season_ID"),
                         "Home_Team_ID", "Away_Team_ID", F.col("Home_Team_ID").alias("Venue_ID"),
                         F.col("o_orderdate").alias("Match_Date"),
-                        F.to_timestamp(F.concat(F.lit("1970-01-01 "),
+                        F.to_timestamp_ntz(F.concat(F.lit("1970-01-01 "),
                                                 F.date_format("o_orderdate", "HH:mm:ss")))
                         .alias("Match_Time")))
 
@@ -149,8 +149,10 @@ class ProxyStar:
     @cached_property
     def fact_player(self) -> DataFrame:
         q = _qty()
-        position = F.when(F.col("l_returnflag") == "R", "G").when(F.col("l_returnflag") == "A", "D") \
-            .when(F.col("l_returnflag") == "N", "F")
+        position = None
+        for flag, pos in POSITION_BY_RETURNFLAG.items():
+            cond = F.col("l_returnflag") == flag
+            position = F.when(cond, pos) if position is None else position.when(cond, pos)
         return self.t.lineitem.select(
             F.col("l_orderkey").alias("Fixture_ID"), F.col("l_suppkey").alias("Team_ID"),
             F.col("l_partkey").alias("Player_ID"),

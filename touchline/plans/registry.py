@@ -38,6 +38,8 @@ REPORT_QUERIES: dict[str, Query] = {
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(REPORT_QUERIES)
+    from touchline.plans.json_proxy import JSON_QUERIES
+    out.update(JSON_QUERIES)
     return out
 
 
@@ -45,4 +47,6 @@ def all_oracles() -> dict[str, str]:
     from touchline.plans.oracles import report_oracles
     out: dict[str, str] = {}
     out.update(report_oracles())
+    from touchline.plans.json_oracles import json_oracles
+    out.update(json_oracles())
     return out
