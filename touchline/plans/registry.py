@@ -40,6 +40,8 @@ def all_queries() -> dict[str, Query]:
     out.update(REPORT_QUERIES)
     from touchline.plans.json_proxy import JSON_QUERIES
     out.update(JSON_QUERIES)
+    from touchline.plans.more_queries import MORE_QUERIES
+    out.update(MORE_QUERIES)
     return out
 
 
@@ -49,4 +51,6 @@ def all_oracles() -> dict[str, str]:
     out.update(report_oracles())
     from touchline.plans.json_oracles import json_oracles
     out.update(json_oracles())
+    from touchline.plans.more_oracles import more_oracles
+    out.update(more_oracles())
     return out
