@@ -14,7 +14,8 @@ from touchline.plans.proxy_envelopes import ProxyEnvelopes
 from touchline.plans.transform import transform_envelopes
 from touchline.schemas import (ENDPOINT_FIXTURES, ENDPOINT_PLAYERS, ENDPOINT_STATISTICS,
                                ENDPOINT_TEAMS)
-from touchline.sources.envelopes import parse_envelopes, split_valid
+from touchline.session import scratch_path
+from touchline.sources.envelopes import read_envelopes, split_valid
 
 
 class JsonProxy:
@@ -22,14 +23,19 @@ class JsonProxy:
         self.spark = spark
         self.proxy = ProxyStar(spark, sf_dir)
         self.docs = ProxyEnvelopes(self.proxy)
+        self._landed: dict[str, str] = {}
 
-    def _docs(self, endpoint: str) -> DataFrame:
-        return {ENDPOINT_FIXTURES: self.docs.fixtures_docs, ENDPOINT_TEAMS: self.docs.teams_docs,
-                ENDPOINT_PLAYERS: self.docs.players_docs,
-                ENDPOINT_STATISTICS: self.docs.statistics_docs}[endpoint]
+    @cached_property
+    def landing(self) -> str:
+        return scratch_path(self.spark, "landing")
 
     def parsed(self, endpoint: str) -> DataFrame:
-        return parse_envelopes(self._docs(endpoint), "doc", endpoint)
+        """Documents landed as JSON-lines files, then read by the JSON scan (S1):
+        one parse per document, filters applied after the parse."""
+        if endpoint not in self._landed:
+            self._landed[endpoint] = self.docs.land(endpoint, self.landing)
+        return read_envelopes(self.spark, self._landed[endpoint], endpoint, glob=None,
+                              multiline=False)
 
     def valid(self, endpoint: str) -> DataFrame:
         return split_valid(self.parsed(endpoint), endpoint)[0]
