@@ -89,6 +89,17 @@ LEFT JOIN dim_teams th ON th.Team_ID = f.Home_Team_ID
 LEFT JOIN dim_teams ta ON ta.Team_ID = f.Away_Team_ID""")
 
 
+CSV_ROUNDTRIP = with_proxy("""
+SELECT ft.Fixture_ID, ft.Team_ID, ft.Goals_Scored, ft.Goals_Conceded, ft.Winner_Team, ft.Fouls,
+       ft.Yellow_Cards, ft.Red_Cards, f.Match_Date, f.Season_ID
+FROM fact_team ft JOIN dim_fixtures f ON f.Fixture_ID = ft.Fixture_ID""")
+
+JSON_ROUNDTRIP = with_proxy("""
+SELECT Fixture_ID, Team_ID, Player_ID, Minutes_Played, Position, Rating, Goals_Scored, Assists,
+       Saves, Goals_Conceded
+FROM fact_player""")
+
+
 def more_oracles() -> dict[str, str]:
     return {
         "eav_pivot_events": EAV_PIVOT_EVENTS,
@@ -104,4 +115,6 @@ def more_oracles() -> dict[str, str]:
         "pending_backlog_all": PENDING_ALL,
         "stream_ingest_events": STREAM_INGEST_EVENTS,
         "mart_match_results": MART_MATCH_RESULTS,
+        "csv_roundtrip": CSV_ROUNDTRIP,
+        "json_roundtrip": JSON_ROUNDTRIP,
     }

@@ -113,6 +113,35 @@ def stream_ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.round(F.col("value") * 100).cast("long")).alias("Value_Cents"))
 
 
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write fixtures and team facts as header CSV, load them back typed
+    by the DDL, and report the loaded fact rows with their fixture date."""
+    from touchline.sources.warehouse import read_csv_typed, write_csv, conform
+    star = ProxyStar(spark, sf_dir)
+    root = scratch_path(spark, "csv-roundtrip")
+    write_csv(conform(star.fact_team, "fact_team"), f"{root}/fact_team")
+    write_csv(conform(star.dim_fixtures, "dim_fixtures"), f"{root}/dim_fixtures")
+    ft = read_csv_typed(spark, f"{root}/fact_team", "fact_team")
+    fx = read_csv_typed(spark, f"{root}/dim_fixtures", "dim_fixtures")
+    return ft.join(fx.select("Fixture_ID", "Match_Date", "Season_ID"), "Fixture_ID").select(
+        "Fixture_ID", "Team_ID", "Goals_Scored", "Goals_Conceded", "Winner_Team", "Fouls",
+        "Yellow_Cards", "Red_Cards", "Match_Date", "Season_ID")
+
+
+def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the player facts as JSON lines and read them back with the
+    declared schema."""
+    from touchline.sources.warehouse import conform
+    from touchline.schemas import STAR_DDL
+    star = ProxyStar(spark, sf_dir)
+    path = scratch_path(spark, "json-roundtrip")
+    conform(star.fact_player, "fact_player").drop("Player_Stat_ID").write.json(path)
+    ddl = STAR_DDL["fact_player"].split(", ", 1)[1]
+    return spark.read.schema(ddl).json(path).select(
+        "Fixture_ID", "Team_ID", "Player_ID", "Minutes_Played", "Position", "Rating",
+        "Goals_Scored", "Assists", "Saves", "Goals_Conceded")
+
+
 MORE_QUERIES = {
     "eav_pivot_events": eav_pivot_events,
     "events_props_json": events_props_json,
@@ -127,4 +156,6 @@ MORE_QUERIES = {
     "pending_backlog_all": pending_backlog_all,
     "stream_ingest_events": stream_ingest_events,
     "mart_match_results": lambda s, d: match_results_mart(ProxyStar(s, d)),
+    "csv_roundtrip": csv_roundtrip,
+    "json_roundtrip": json_roundtrip,
 }
