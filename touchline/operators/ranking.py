@@ -56,7 +56,11 @@ def rank_by(df: DataFrame, order: Sequence[tuple[str, bool]], partition_by: Sequ
     ``order`` is a list of (column, descending). NULLs sort last both ways.
     """
     keys = list(partition_by) + [c for c, _ in order]
-    tuples = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rank_n"))
+    # count(struct(all columns)) equals count(*) (a struct is never NULL), but
+    # it keeps every column of ``df`` needed, so column pruning leaves both uses
+    # of ``df`` identical and Spark reuses their shuffles instead of computing
+    # the input twice.
+    tuples = df.groupBy(*keys).agg(F.count(F.struct(*df.columns)).alias("_rank_n"))
     sort = [_sort_col(c, d) for c, d in order]
     if partition_by:
         before = Window.partitionBy(*partition_by).orderBy(*sort) \
