@@ -12,10 +12,11 @@ from conftest import ROOT, SF_SMALL
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as E  # noqa: E402
 from check_oracles import _rows  # noqa: E402
+from touchline.plans.registry import all_oracles, all_queries  # noqa: E402
 from touchline.sources.tables import DRIVER_TABLES  # noqa: E402
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
