@@ -10,7 +10,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import quality, secrets, urlfilter
+from touchline.llm import decontam, quality, secrets, sentencepiece_codec, simhash, urlfilter
 from touchline.llm.common import read_table, share_package
 from touchline.llm.oracles import ORACLES
 
@@ -26,6 +26,19 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(read_table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.round_trip(read_table(spark, sf_dir, "documents"))
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read_table(spark, sf_dir, "documents"),
+                                 read_table(spark, sf_dir, "benchmark"))
+
+
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(read_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"))
 
@@ -39,7 +52,8 @@ def _shared(query: Query) -> Query:
 
 
 def llm_queries() -> dict[str, Query]:
-    found = (op1_url_filters, op2_secret_scans, op10_quality_rules)
+    found = (op1_url_filters, op2_secret_scans, op3_sentencepiece, op5_benchmark_decontamination,
+             op6_simhash_near_dedup, op10_quality_rules)
     return {q.__name__: _shared(q) for q in found}
 
 
