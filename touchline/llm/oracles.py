@@ -85,4 +85,16 @@ SELECT doc_id, n_words, coalesce(wc, 0)::BIGINT AS word_chars, n_symbols, n_dup_
 FROM f
 """
 
-ORACLES = {"op1_url_filters": OP1, "op10_quality_rules": OP10}
+OP7 = r"""
+WITH h AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+m AS (SELECT body, max(page_id) AS best FROM h GROUP BY body)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(hex, 1 + 5 * (k // 4), 5))::INT >> (15 - 5 * (k % 4))) & 31)::INT, 1)),
+           'string_agg', '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM best THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS NOT DISTINCT FROM best THEN NULL ELSE best END AS refers_to
+FROM h JOIN m USING (body)
+"""
+
+ORACLES = {"op7_warc": OP7, "op1_url_filters": OP1, "op10_quality_rules": OP10}

@@ -10,7 +10,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import decontam, quality, secrets, sentencepiece_codec, simhash, urlfilter
+from touchline.llm import decontam, quality, secrets, sentencepiece_codec, simhash, urlfilter, warc
 from touchline.llm.common import read_table, share_package
 from touchline.llm.oracles import ORACLES
 
@@ -39,6 +39,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(read_table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, read_table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"))
 
@@ -53,7 +57,7 @@ def _shared(query: Query) -> Query:
 
 def llm_queries() -> dict[str, Query]:
     found = (op1_url_filters, op2_secret_scans, op3_sentencepiece, op5_benchmark_decontamination,
-             op6_simhash_near_dedup, op10_quality_rules)
+             op6_simhash_near_dedup, op7_warc, op10_quality_rules)
     return {q.__name__: _shared(q) for q in found}
 
 
