@@ -10,7 +10,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import decontam, quality, secrets, sentencepiece_codec, simhash, urlfilter, warc
+from touchline.llm import decontam, pii, quality, secrets, sentencepiece_codec, simhash, urlfilter, warc
 from touchline.llm.common import read_table, share_package
 from touchline.llm.oracles import ORACLES
 
@@ -30,6 +30,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(read_table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(read_table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"),
                                  read_table(spark, sf_dir, "benchmark"))
@@ -56,7 +60,7 @@ def _shared(query: Query) -> Query:
 
 
 def llm_queries() -> dict[str, Query]:
-    found = (op1_url_filters, op2_secret_scans, op3_sentencepiece, op5_benchmark_decontamination,
+    found = (op1_url_filters, op2_secret_scans, op3_sentencepiece, op4_pii, op5_benchmark_decontamination,
              op6_simhash_near_dedup, op7_warc, op10_quality_rules)
     return {q.__name__: _shared(q) for q in found}
 
