@@ -97,4 +97,23 @@ SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
 FROM h JOIN m USING (body)
 """
 
-ORACLES = {"op7_warc": OP7, "op1_url_filters": OP1, "op10_quality_rules": OP10}
+OP8 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+win AS (
+  SELECT rid, doc_id, i, array_to_string(ws[i:i + 49], ' ') AS g
+  FROM (SELECT rid, doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d)),
+low AS (SELECT g, min(doc_id) AS low FROM win GROUP BY g),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 50)) AS j FROM win JOIN low USING (g) WHERE low < doc_id),
+k AS (
+  SELECT rid, count(*) AS n, list(j) AS js FROM gone GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN n IS NULL THEN ws
+                                   ELSE list_where(ws, list_transform(range(1, len(ws) + 1),
+                                        lambda x: NOT list_contains(js, x))) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN k USING (rid)
+"""
+
+ORACLES = {"op8_substring_dedup": OP8, "op7_warc": OP7, "op1_url_filters": OP1, "op10_quality_rules": OP10}

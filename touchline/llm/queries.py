@@ -10,7 +10,9 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import decontam, pii, quality, secrets, sentencepiece_codec, simhash, urlfilter, warc
+from touchline.llm import (
+    decontam, pii, quality, secret_scan, sentencepiece_codec, simhash, substring, suffixarray, urlfilter, warc,
+)
 from touchline.llm.common import read_table, share_package
 from touchline.llm.oracles import ORACLES
 
@@ -23,7 +25,7 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(read_table(spark, sf_dir, "documents"))
+    return secret_scan.digest(read_table(spark, sf_dir, "documents"))
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +49,14 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, read_table(spark, sf_dir, "pages"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(read_table(spark, sf_dir, "documents"))
+
+
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixarray.digest(read_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"))
 
@@ -61,7 +71,7 @@ def _shared(query: Query) -> Query:
 
 def llm_queries() -> dict[str, Query]:
     found = (op1_url_filters, op2_secret_scans, op3_sentencepiece, op4_pii, op5_benchmark_decontamination,
-             op6_simhash_near_dedup, op7_warc, op10_quality_rules)
+             op6_simhash_near_dedup, op7_warc, op8_substring_dedup, op9_suffix_array_dedup, op10_quality_rules)
     return {q.__name__: _shared(q) for q in found}
 
 
