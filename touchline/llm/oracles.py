@@ -116,4 +116,27 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
 FROM d LEFT JOIN k USING (rid)
 """
 
-ORACLES = {"op8_substring_dedup": OP8, "op7_warc": OP7, "op1_url_filters": OP1, "op10_quality_rules": OP10}
+OP9 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+win AS (
+  SELECT rid, i, b[i:i + 199] AS g
+  FROM (SELECT rid, b, unnest(range(1, octet_length(b) - 198)) AS i FROM d)),
+rep AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+hit AS (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS prev FROM win JOIN rep USING (g)),
+isl AS (
+  SELECT rid, i, sum(CASE WHEN prev IS NULL OR i > prev + 200 THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY rid ORDER BY i) AS k FROM hit),
+span AS (SELECT rid, k, min(i) AS s, max(i) + 199 AS e FROM isl GROUP BY rid, k),
+gap AS (SELECT *, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY s), 0) AS prev_e FROM span),
+r AS (
+  SELECT rid, sum(e - s + 1)::BIGINT AS n_removed, count(*) AS n_spans, max(e) AS last_e,
+         string_agg(substr(hex(b), 2 * prev_e + 1, 2 * (s - 1 - prev_e)), '' ORDER BY s) AS head
+  FROM gap JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(CASE WHEN head IS NULL THEN b ELSE unhex(head || substr(hex(b), 2 * last_e + 1)) END) AS kept_sha256
+FROM d LEFT JOIN r USING (rid)
+"""
+
+ORACLES = {"op9_suffix_array_dedup": OP9, "op8_substring_dedup": OP8, "op7_warc": OP7, "op1_url_filters": OP1, "op10_quality_rules": OP10}
