@@ -33,6 +33,17 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.md5(F.encode(F.coalesce(text, F.lit("")), "UTF-8")))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that names made on the way cannot clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def with_text(df: DataFrame, row: Column, text: Column) -> Column:
+    """The struct with a new ``text`` and, where ``df`` has it, ``n_chars``."""
+    row = row.withField("text", text)
+    return row.withField("n_chars", F.length(text).cast("long")) if "n_chars" in df.columns else row
+
+
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared scratch folder and read it back.
 

@@ -39,7 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _WORD = re.compile(r"\w+")
@@ -233,16 +233,18 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, settings: Settings
         F.max("answer_overlap").alias("answer_overlap"))
 
 
+def _clean(index) -> Column:
+    """Whether a text holds no item of a broadcast index."""
+    @F.pandas_udf("boolean")
+    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([not index.value.hits(t) for t in batch], dtype=bool)
+    return clean("text")
+
+
 def clean_documents(documents: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Documents without a verified item; the input's columns."""
-    spark = documents.sparkSession
     out = documents
     for items in _shards(benchmark, settings):
-        index = spark.sparkContext.broadcast(Index(items, settings))
-
-        @F.pandas_udf("boolean")
-        def clean(texts: Iterator[pd.Series], index=index) -> Iterator[pd.Series]:
-            for batch in texts:
-                yield pd.Series([not index.value.hits(t) for t in batch], dtype=bool)
-        out = out.where(clean("text"))
+        out = out.where(_clean(documents.sparkSession.sparkContext.broadcast(Index(items, settings))))
     return out

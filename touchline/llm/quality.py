@@ -31,7 +31,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import SPACE_CLASS, SPACES, ascii_lower, text_digest, words_of
+from touchline.llm.common import (
+    SPACE_CLASS, SPACES, ascii_lower, text_digest, whole_row, with_text, words_of,
+)
 
 #: Characters counted as symbols (fixed by the query's contract).
 SYMBOLS = r"[#*$%&|<>]"
@@ -106,7 +108,7 @@ def document_lines(documents: DataFrame) -> DataFrame:
             .select("source", "content", normalised(F.col("raw")).alias("norm"))
             .where(F.col("norm") != "")
             .groupBy("source", "content", F.xxhash64("norm").alias("line"))
-            .agg(F.sum(F.size(F.split("norm", " "))).alias("n_words"), F.count(F.lit(1)).alias("n_rows")))
+            .agg(F.sum(F.size(F.split("norm", " "))).alias("n_words")))
 
 
 def removed_lines(documents: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
@@ -151,22 +153,18 @@ def kept_documents(documents: DataFrame, limits: LineLimits = LineLimits()) -> D
 
     ``n_chars`` is set anew where a column of that name exists.
     """
-    columns = documents.columns
     gone = (removed_lines(documents, limits).groupBy("source", "content")
             .agg(F.collect_set("line").alias("gone"), F.sum("n_words").alias("lost"))
             .withColumnsRenamed({"source": "l_source", "content": "l_content"}))
-    text = F.coalesce("text", F.lit(""))
-    own = documents.withColumn("__content", text_digest(text))
-    both = own.join(gone, own["source"].eqNullSafe(F.col("l_source"))
-                    & (own["__content"] == F.col("l_content")), "left")
-    n = F.size(words_of(text))
+    own = documents.select(whole_row(documents).alias("doc"), F.col("source").alias("d_source"),
+                           text_digest(F.col("text")).alias("d_content"))
+    both = own.join(gone, F.col("d_source").eqNullSafe(F.col("l_source"))
+                    & (F.col("d_content") == F.col("l_content")), "left")
+    text = F.coalesce("doc.text", F.lit(""))
     removed = F.coalesce("lost", F.lit(0))
-    depleted = (removed > 0) & ((removed > limits.max_lost * n) | (n - removed < limits.min_left))
-    base = _once(words_of(text), lambda w: (F.size(w) < 50) | (100 * _repeat_words(w) > 50 * F.size(w)))
-    left = F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~F.coalesce(
-        F.array_contains(F.col("gone"), F.xxhash64(normalised(x))), F.lit(False))), "\n")
-    out = (both.where(~base & ~depleted)
-           .withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left)))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*columns)
+    fails = _once(words_of(text), lambda w: (
+        (F.size(w) < 50) | (100 * _repeat_words(w) > 50 * F.size(w))
+        | ((removed > 0) & ((removed > limits.max_lost * F.size(w)) | (F.size(w) - removed < limits.min_left)))))
+    left = F.when(F.col("gone").isNull(), F.col("doc.text")).otherwise(F.array_join(F.filter(
+        F.split(text, "\n", -1), lambda x: ~F.array_contains("gone", F.xxhash64(normalised(x)))), "\n"))
+    return both.where(~fails).select(with_text(documents, F.col("doc"), left).alias("doc")).select("doc.*")

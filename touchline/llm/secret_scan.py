@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.llm.common import whole_row, with_text
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's text is cut before merging (fixed by the vocabulary).
 VOCABULARY_PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"""
@@ -144,17 +146,13 @@ def scan(documents: DataFrame, column: str = "text", max_ratio: float = MAX_RATI
 
 def redact(documents: DataFrame, max_ratio: float = MAX_RATIO, vocabulary: str = VOCABULARY) -> DataFrame:
     """Documents with every secret replaced by a mark; all rows stay."""
-    columns = documents.columns
-
     @F.pandas_udf("string")
     def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series([None if t is None else redacted(t, find_spans(t, max_ratio, vocabulary))
                              for t in batch], dtype=object)
-    out = documents.withColumn("text", clean("text"))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*columns)
+    rows = documents.select(whole_row(documents).alias("doc"), clean("text").alias("clean"))
+    return rows.select(with_text(documents, F.col("doc"), F.col("clean")).alias("doc")).select("doc.*")
 
 
 def digest(documents: DataFrame, max_ratio: float = MAX_RATIO, vocabulary: str = VOCABULARY) -> DataFrame:

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import written
+from touchline.llm.common import whole_row, written
 from touchline.llm.components import components
 
 FAN = 8
@@ -261,15 +261,15 @@ def first_of_groups(documents: DataFrame, shingle: int = 3, max_bits: int = 3, s
     Documents without an id stay. Of rows that repeat the id of a group's
     first document within that group, one stays.
     """
-    columns = documents.columns
     found = groups(documents, shingle, max_bits, seed)
     first = written(found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n")).withColumnRenamed("doc_id", "first_id"), "first")
-    kept = documents.join(first, F.col("doc_id") == F.col("first_id"))
+    rows = documents.select(F.col("doc_id").alias("own_id"), whole_row(documents).alias("doc"))
+    kept = rows.join(first, F.col("own_id") == F.col("first_id"))
     if not first.where(F.col("n") > 1).isEmpty():
         many = kept.where(F.col("n") > 1).dropDuplicates(["first_id"])
         kept = kept.where(F.col("n") == 1).unionAll(many)
-    return kept.select(*columns).unionAll(documents.where(F.col("doc_id").isNull()).select(*columns))
+    return kept.select("doc").unionAll(rows.where(F.col("own_id").isNull()).select("doc")).select("doc.*")
 
 
 def digest(documents: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42) -> DataFrame:
