@@ -211,7 +211,7 @@ def links(prints: DataFrame, max_bits: int = 3, max_bucket: int = 4096) -> DataF
             if hot.isEmpty():
                 last = True
         cool = rows if last else rows.join(hot, "key", "left_anti")
-        done = cool if done is None else done.unionAll(cool)
+        done = cool if done is None else done.unionByName(cool)
         if last:
             break
         rows = written(rows.join(hot, "key", "left_semi"), "hotrows")
