@@ -90,3 +90,32 @@ def test_round_ratio_half_up(spark):
                               round_ratio(F.lit(1), F.lit(0)).alias("b"),
                               round_ratio(F.lit(107), F.lit(40)).alias("c")).first()
     assert (r.a, r.b, r.c) == (0.29, None, 2.68)
+
+
+def test_team_of_two_leagues_is_one_row_by_default_and_multiplied_in_fanout(spark):
+    star = _star(spark)
+    star.dim_teams = spark.createDataFrame(
+        [(10, "Ten", 9), (10, "Ten", 8), (20, "Twenty", 9), (30, "Thirty", 9)],
+        "Team_ID long, Team_Name string, League_ID long")
+    once = {r.Team: (r.League_Points, r.League_Position) for r in reports.standings(star).collect()}
+    assert once == {"Ten": (7, 1), "Twenty": (1, 2), "Thirty": (0, 3)}
+    twice = {r.Team: (r.League_Points, r.Wins, r.Goals_For) for r in reports.standings(star, fanout=True).collect()}
+    assert twice["Ten"] == (14, 4, 8) and twice["Twenty"][0] == 1
+    home = {r.Team_Name: r for r in reports.home_away(star, fanout=True).collect()}
+    assert home["Ten"].Home_Points == 12 and home["Ten"].Avg_Home_Points == 2.0
+    assert len(reports.home_away(star).collect()) == 3
+    # join-then-aggregate: 12 matches of P100 count twice, so a limit of 20 keeps only P100
+    assert [r.Player_Name for r in reports.consistent_players(star, min_matches=20, fanout=True).collect()] == ["P100"]
+    assert [r.Matches_Played for r in reports.best_goalkeepers(star, fanout=True).collect()] == [24, 12]
+    assert {r.Player_Name: r.Goal_Contributions for r in reports.impactful_players(star, fanout=True).collect()
+            }["P100"] == 36
+    assert {r.Team_Name: r.Total_Fouls for r in reports.aggressive_teams(star, fanout=True).collect()}["Ten"] == 60
+
+
+def test_ratios_are_exact_and_do_not_overflow(spark):
+    from touchline.functions.numeric import round_avg, round_ratio
+    r = spark.range(1).select(
+        round_ratio(F.lit(10**18 + 1), F.lit(10**18)).alias("a"),
+        round_avg(F.lit(6e10), F.lit(4 * 10**10)).alias("b"),
+        round_ratio(F.lit(9007199254740993), F.lit(2)).alias("c")).first()
+    assert (r.a, r.b, r.c) == (1.0, 1.5, 4503599627370496.5)

@@ -2,8 +2,11 @@
 
 The warehouse declares primary and foreign keys without enforcing them.
 These checks are distributed aggregates and anti-joins: duplicates are
-found with a partially aggregated ``groupBy(key).count()``, orphans with a
-``left_anti`` join (NULL references are not orphans).
+found with a partially aggregated ``groupBy(key).count()``; references are reduced
+to one row per value the same way before the ``left_anti`` join, so a hot
+reference never crosses the network row by row (NULL references are not
+orphans). A check whose table lacks a column raises an error; it is never
+left out.
 """
 
 from __future__ import annotations
@@ -29,15 +32,22 @@ def fk_orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_colu
     return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
+def _require(table: str, df: DataFrame, columns: Sequence[str]) -> None:
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{table} lacks {', '.join(missing)}: its check cannot run")
+
+
 def fk_report(star, foreign_keys=FOREIGN_KEYS) -> DataFrame:
     """One row per declared foreign key with its orphan count."""
     parts = []
     for child, col, parent, pcol in foreign_keys:
         c, p = getattr(star, child), getattr(star, parent)
-        if col not in c.columns or pcol not in p.columns:
-            continue
-        n = fk_orphan_rows(c.select(col), col, p.select(pcol), pcol).agg(
-            F.count(F.lit(1)).alias("Orphan_Rows"))
+        _require(child, c, [col])
+        _require(parent, p, [pcol])
+        values = c.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
+        n = fk_orphan_rows(values, col, p.select(pcol), pcol).agg(
+            F.coalesce(F.sum("_rows"), F.lit(0)).alias("Orphan_Rows"))
         parts.append(n.select(F.lit(child).alias("Child_Table"), F.lit(col).alias("Child_Column"),
                               F.lit(parent).alias("Parent_Table"), "Orphan_Rows"))
     return reduce(DataFrame.unionByName, parts)
@@ -48,8 +58,7 @@ def pk_report(star, primary_keys=PRIMARY_KEYS) -> DataFrame:
     parts = []
     for table, keys in primary_keys.items():
         df = getattr(star, table)
-        if not set(keys) <= set(df.columns):
-            continue
+        _require(table, df, keys)
         n = pk_duplicates(df.select(*keys), keys).agg(F.count(F.lit(1)).alias("Duplicate_Keys"))
         parts.append(n.select(F.lit(table).alias("Table_Name"), "Duplicate_Keys"))
     return reduce(DataFrame.unionByName, parts)

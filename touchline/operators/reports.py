@@ -5,8 +5,10 @@ Each report takes any object with the star's table attributes (``Star``,
 
 Common plan rules:
   * aggregate the fact on its keys first, then join the (possibly large)
-    dimensions to the much smaller aggregate; dimension keys are unique
-    (checked by ``operators.quality``), so this equals join-then-aggregate;
+    dimensions to the much smaller aggregate. ``dim_teams`` may hold a team
+    once per league of its country: by default it is reduced to one row per
+    team and name; with ``fanout=True`` the sums and counts are multiplied by
+    the number of those rows, which equals join-then-aggregate;
   * every ordering says where NULLs go and ends on a unique key, so top-k
     results are deterministic (the reference leaves both open);
   * ratios use ``round_ratio`` (exact half-up), averages are computed in
@@ -38,6 +40,16 @@ def _flag(cond: Column) -> Column:
     return F.when(cond, 1).otherwise(0)
 
 
+def _teams(star, fanout: bool) -> DataFrame:
+    """Team_ID, Team_Name, _times (rows of the team that a fact row is joined to)."""
+    times = F.count(F.lit(1)) if fanout else F.lit(1).cast("long")
+    return star.dim_teams.groupBy("Team_ID", "Team_Name").agg(times.alias("_times"))
+
+
+def _multiplied(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.withColumns({c: F.col(c) * F.col("_times") for c in columns})
+
+
 def _team_fixture(star) -> DataFrame:
     """fact_team rows with their fixture's season, league and sides."""
     f = star.dim_fixtures.select("Fixture_ID", "Season_ID", "League_ID", "Home_Team_ID",
@@ -70,7 +82,11 @@ def match_results(star, corrected: bool = False) -> DataFrame:
         .withColumn("Goal_Difference", F.col("Goals_For") - F.col("Goals_Against")))
 
 
-def standings(star, per_league: bool = True, corrected: bool = False) -> DataFrame:
+STANDINGS_SUMS = ["League_Points", "Wins", "Draws", "Loses", "Goal_Difference", "Goals_For", "Goals_Against",
+                  "Away_Wins", "Home_Losses"]
+
+
+def standings(star, per_league: bool = True, corrected: bool = False, fanout: bool = False) -> DataFrame:
     """R1 league table.
 
     ``per_league=False`` is the reference's single ranking across all
@@ -78,10 +94,10 @@ def standings(star, per_league: bool = True, corrected: bool = False) -> DataFra
     league. Both use the distributed ``rank_by``.
     """
     mr = match_results(star, corrected)
-    teams = star.dim_teams.select("Team_ID", F.col("Team_Name").alias("Team"))
+    teams = _teams(star, fanout).withColumnRenamed("Team_Name", "Team")
     seasons = star.dim_seasons.select("Season_ID", "Season_Year")
     leagues = star.dim_leagues.select("League_ID", "League_Name")
-    named = (mr.join(teams, "Team_ID")
+    named = (_multiplied(mr.join(teams, "Team_ID"), STANDINGS_SUMS).drop("_times")
              .join(seasons, "Season_ID", "left").join(leagues, "League_ID", "left"))
     parts = ["Season_ID", "League_ID"] if per_league else []
     ranked = rank_by(named, STANDINGS_ORDER, parts, name="League_Position")
@@ -123,9 +139,10 @@ def _side_sums(side: str, corrected: bool) -> list[Column]:
     ]
 
 
-def _home_away_finish(perf: DataFrame, star) -> DataFrame:
-    teams = star.dim_teams.select("Team_ID", "Team_Name")
-    return (perf.join(teams, "Team_ID")
+def _home_away_finish(perf: DataFrame, star, fanout: bool) -> DataFrame:
+    named = _multiplied(perf.join(_teams(star, fanout), "Team_ID"), [
+        f"{side}_{what}" for side in ("Home", "Away") for what in ("Points", "Goals", "Matches")])
+    return (named
             .withColumn("Avg_Home_Points", round_ratio(F.col("Home_Points"), F.col("Home_Matches")))
             .withColumn("Avg_Away_Points", round_ratio(F.col("Away_Points"), F.col("Away_Matches")))
             .orderBy((F.col("Home_Points") + F.col("Away_Points")).desc_nulls_last(),
@@ -133,7 +150,7 @@ def _home_away_finish(perf: DataFrame, star) -> DataFrame:
             .select(*HOME_AWAY_COLUMNS))
 
 
-def home_away(star, single_pass: bool = True, corrected: bool = False) -> DataFrame:
+def home_away(star, single_pass: bool = True, corrected: bool = False, fanout: bool = False) -> DataFrame:
     """R3 home vs away form, keyed on (season, league, team) (fixes Q-8).
 
     ``single_pass=False`` is the reference's shape: two aggregates of the
@@ -151,35 +168,43 @@ def home_away(star, single_pass: bool = True, corrected: bool = False) -> DataFr
         home = ft.groupBy(*keys).agg(*_side_sums("Home", corrected))
         away = ft.groupBy(*keys).agg(*_side_sums("Away", corrected))
         perf = home.join(away, keys)
-    return _home_away_finish(perf, star)
+    return _home_away_finish(perf, star, fanout)
 
 
 # -- R4-R6 --------------------------------------------------------------------
-def _player_team(star) -> DataFrame:
+def _player_team(star, fanout: bool) -> DataFrame:
     """dim_players with the team name of the player's (latest) team."""
-    teams = star.dim_teams.select("Team_ID", "Team_Name")
-    return star.dim_players.select("Player_ID", "Player_Name", "Team_ID").join(teams, "Team_ID")
+    return star.dim_players.select("Player_ID", "Player_Name", "Team_ID").join(_teams(star, fanout), "Team_ID")
+
+
+def _with_team(per_player: DataFrame, star, fanout: bool, min_matches: int, sums: list[str]) -> DataFrame:
+    """Named per-player sums, kept where there are enough matches. Without a
+    fan-out the filter runs before the joins."""
+    if not fanout:
+        per_player = per_player.where(F.col("Matches_Played") >= min_matches)
+    named = _multiplied(per_player.join(_player_team(star, fanout), "Player_ID"), ["Matches_Played", *sums])
+    return named.where(F.col("Matches_Played") >= min_matches) if fanout else named
 
 
 def _top(df: DataFrame, metric: str, k: int, tie: str, cols: list[str]) -> DataFrame:
     return df.orderBy(F.col(metric).desc_nulls_last(), F.col(tie).asc()).limit(k).select(*cols)
 
 
-def consistent_players(star, min_minutes: int = 60, min_matches: int = 10, k: int = 10) -> DataFrame:
+def consistent_players(star, min_minutes: int = 60, min_matches: int = 10, k: int = 10,
+                       fanout: bool = False) -> DataFrame:
     """R4 highest average rating among regular starters."""
     per_player = (star.fact_player.where(F.col("Minutes_Played") >= min_minutes)
                   .groupBy("Player_ID")
                   .agg(F.count("Fixture_ID").alias("Matches_Played"),
-                       F.sum("Rating").alias("_rating_sum"), F.count("Rating").alias("_rating_n"))
-                  .where(F.col("Matches_Played") >= min_matches))
-    out = (per_player.join(_player_team(star), "Player_ID")
+                       F.sum("Rating").alias("_rating_sum"), F.count("Rating").alias("_rating_n")))
+    out = (_with_team(per_player, star, fanout, min_matches, ["_rating_sum", "_rating_n"])
            .withColumn("Avg_Rating", round_avg(F.col("_rating_sum"), F.col("_rating_n"))))
     return _top(out, "Avg_Rating", k, "Player_ID",
                 ["Player_Name", "Team_ID", "Team_Name", "Matches_Played", "Avg_Rating"])
 
 
 def impactful_players(star, min_matches: int = 10, k: int = 10,
-                      coalesce_nulls: bool = False) -> DataFrame:
+                      coalesce_nulls: bool = False, fanout: bool = False) -> DataFrame:
     """R5 goal contributions. Goals + Assists is NULL when either is NULL
     (Q-10, faithful); ``coalesce_nulls=True`` counts a missing value as 0."""
     g, a = F.col("Goals_Scored"), F.col("Assists")
@@ -190,9 +215,9 @@ def impactful_players(star, min_matches: int = 10, k: int = 10,
                   .agg(F.count("Fixture_ID").alias("Matches_Played"),
                        F.sum(g).alias("Total_Goals"), F.sum(a).alias("Total_Assists"),
                        F.sum(contrib).alias("Goal_Contributions"),
-                       F.count(contrib).alias("_contrib_n"))
-                  .where(F.col("Matches_Played") >= min_matches))
-    out = (per_player.join(_player_team(star), "Player_ID")
+                       F.count(contrib).alias("_contrib_n")))
+    out = (_with_team(per_player, star, fanout, min_matches,
+                      ["Total_Goals", "Total_Assists", "Goal_Contributions", "_contrib_n"])
            .withColumn("Avg_Goal_Contributions",
                        round_ratio(F.col("Goal_Contributions"), F.col("_contrib_n"))))
     return _top(out, "Goal_Contributions", k, "Player_ID",
@@ -200,7 +225,7 @@ def impactful_players(star, min_matches: int = 10, k: int = 10,
                  "Goal_Contributions", "Avg_Goal_Contributions"])
 
 
-def best_goalkeepers(star, min_matches: int = 10, k: int = 10) -> DataFrame:
+def best_goalkeepers(star, min_matches: int = 10, k: int = 10, fanout: bool = False) -> DataFrame:
     """R6 save percentage of goalkeepers. The numerator sums every save, the
     denominator only rows where both values exist (Q-11, kept)."""
     per_player = (star.fact_player.where(F.col("Position") == "G")
@@ -208,9 +233,8 @@ def best_goalkeepers(star, min_matches: int = 10, k: int = 10) -> DataFrame:
                   .agg(F.count("Fixture_ID").alias("Matches_Played"),
                        F.sum("Saves").alias("Total_Saves"),
                        F.sum("Goals_Conceded").alias("Goals_Allowed"),
-                       F.sum(F.col("Saves") + F.col("Goals_Conceded")).alias("_faced"))
-                  .where(F.col("Matches_Played") >= min_matches))
-    out = (per_player.join(_player_team(star), "Player_ID")
+                       F.sum(F.col("Saves") + F.col("Goals_Conceded")).alias("_faced")))
+    out = (_with_team(per_player, star, fanout, min_matches, ["Total_Saves", "Goals_Allowed", "_faced"])
            .withColumn("Save_Percentage",
                        round_ratio(F.col("Total_Saves"), F.col("_faced"), scale=100)))
     return _top(out, "Save_Percentage", k, "Player_ID",
@@ -219,7 +243,7 @@ def best_goalkeepers(star, min_matches: int = 10, k: int = 10) -> DataFrame:
 
 
 # -- R7 -----------------------------------------------------------------------
-def aggressive_teams(star, k: int = 10) -> DataFrame:
+def aggressive_teams(star, k: int = 10, fanout: bool = False) -> DataFrame:
     """R7 fouls and cards per game, grouped by team name as in the reference.
 
     Pre-aggregated per Team_ID (sums and non-null counts re-aggregate
@@ -230,8 +254,8 @@ def aggressive_teams(star, k: int = 10) -> DataFrame:
         F.sum("Fouls").alias("f"), F.count("Fouls").alias("fn"),
         F.sum("Yellow_Cards").alias("y"), F.count("Yellow_Cards").alias("yn"),
         F.sum("Red_Cards").alias("r"), F.count("Red_Cards").alias("rn"))
-    teams = star.dim_teams.select("Team_ID", "Team_Name")
-    per_name = per_team.join(teams, "Team_ID").groupBy("Team_Name").agg(
+    named = _multiplied(per_team.join(_teams(star, fanout), "Team_ID"), ["m", "f", "fn", "y", "yn", "r", "rn"])
+    per_name = named.groupBy("Team_Name").agg(
         F.sum("m").alias("Matches_Played"),
         F.sum("f").alias("Total_Fouls"), F.sum("fn").alias("fn"),
         F.sum("y").alias("Total_Yellows"), F.sum("yn").alias("yn"),

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from touchline.plans.more_queries import EVENT_TYPES
 from touchline.plans.oracles import with_proxy
-from touchline.schemas import FOREIGN_KEYS
 
-EAV_PIVOT_EVENTS = "SELECT user_id, " + ", ".join(
-    f"max(CASE WHEN event_type = '{t}' THEN value END) AS max_{t}" for t in EVENT_TYPES
-) + " FROM events GROUP BY user_id"
+EAV_PIVOT_EVENTS = """
+SELECT user_id, max(value) FILTER (event_type = 'click') AS max_click,
+       max(value) FILTER (event_type = 'view') AS max_view, max(value) FILTER (event_type = 'error') AS max_error,
+       max(value) FILTER (event_type = 'purchase') AS max_purchase,
+       max(value) FILTER (event_type = 'signup') AS max_signup
+FROM events GROUP BY user_id"""
 
 EVENTS_PROPS_JSON = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS prop_k FROM events"
 
@@ -22,7 +23,8 @@ raw AS (
       WHEN 4 THEN '-' || q WHEN 5 THEN ' ' || q || ' ' WHEN 6 THEN '1.' || q ELSE 'n/a' END AS raw
   FROM src)
 """
-_INT_LENIENT = r"CASE WHEN regexp_full_match(trim({x}), '[+-]?\d+') THEN CAST(trim({x}) AS INTEGER) END"
+# A plain cast that is not strict: '12.0' is 12, '-3.7' is -3, 'n/a' is NULL.
+_INT_LENIENT = "CAST(trunc(TRY_CAST(trim({x}) AS DOUBLE)) AS INTEGER)"
 
 COERCE_INT = _SRC + r"""
 SELECT l_orderkey, l_linenumber, raw,
@@ -52,20 +54,36 @@ PK_DUPLICATES = """
 SELECT l_orderkey, l_linenumber, count(*) AS Duplicates
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
 
-_PK_KEYS = {"dim_seasons": ["Season_ID"], "dim_countries": ["Country_ID"],
-            "dim_leagues": ["League_ID"], "dim_venues": ["Venue_ID"], "dim_teams": ["Team_ID"],
-            "dim_players": ["Player_ID"], "dim_fixtures": ["Fixture_ID"],
-            "fact_team": ["Fixture_ID", "Team_ID"]}
+_PK_KEYS = {"dim_seasons": "Season_ID", "dim_countries": "Country_ID", "dim_leagues": "League_ID",
+            "dim_venues": "Venue_ID", "dim_teams": "Team_ID", "dim_players": "Player_ID",
+            "dim_fixtures": "Fixture_ID", "fact_team": "Fixture_ID, Team_ID",
+            "fact_player": "Fixture_ID, Team_ID"}   # not a key: one row per player
 PK_REPORT = with_proxy("\nUNION ALL\n".join(
-    f"SELECT '{t}' AS Table_Name, (SELECT count(*) FROM (SELECT {', '.join(k)} FROM {t} "
-    f"GROUP BY {', '.join(k)} HAVING count(*) > 1)) AS Duplicate_Keys"
-    for t, k in _PK_KEYS.items()))
-
+    f"SELECT '{t}' AS Table_Name, (SELECT count(*) FROM (SELECT {k} FROM {t} GROUP BY {k} HAVING count(*) > 1)) "
+    f"AS Duplicate_Keys" for t, k in _PK_KEYS.items()))
+
+_REFERENCES = """
+dim_leagues.Country_ID dim_countries.Country_ID
+dim_venues.Country_ID dim_countries.Country_ID
+dim_teams.League_ID dim_leagues.League_ID
+dim_teams.Home_Venue_ID dim_venues.Venue_ID
+dim_players.Team_ID dim_teams.Team_ID
+dim_fixtures.League_ID dim_leagues.League_ID
+dim_fixtures.Season_ID dim_seasons.Season_ID
+dim_fixtures.Home_Team_ID dim_teams.Team_ID
+dim_fixtures.Away_Team_ID dim_teams.Team_ID
+dim_fixtures.Venue_ID dim_venues.Venue_ID
+fact_player.Fixture_ID dim_fixtures.Fixture_ID
+fact_player.Team_ID dim_teams.Team_ID
+fact_player.Player_ID dim_players.Player_ID
+fact_team.Fixture_ID dim_fixtures.Fixture_ID
+fact_team.Team_ID dim_teams.Team_ID
+"""
 FK_ORPHANS = with_proxy("\nUNION ALL\n".join(
     f"SELECT '{c}' AS Child_Table, '{col}' AS Child_Column, '{p}' AS Parent_Table, "
     f"(SELECT count(*) FROM {c} x WHERE x.{col} IS NOT NULL AND NOT EXISTS "
     f"(SELECT 1 FROM {p} y WHERE y.{pcol} = x.{col})) AS Orphan_Rows"
-    for c, col, p, pcol in FOREIGN_KEYS))
+    for (c, col), (p, pcol) in ([x.split(".") for x in line.split()] for line in _REFERENCES.strip().splitlines())))
 
 PENDING_ALL = """
 SELECT o_orderkey AS Fixture_ID FROM orders

@@ -18,7 +18,7 @@ from touchline.star import Star
 def transform_envelopes(spark: SparkSession, fixtures_env: DataFrame, teams_env: DataFrame,
                         players_env: DataFrame, stats_env: DataFrame, *,
                         seasons: DataFrame | None = None, countries: DataFrame | None = None,
-                        strict: bool = True, league_source: str = "country") -> Star:
+                        strict: bool = True, league_source: str = "parameters") -> Star:
     seasons = seasons if seasons is not None else seeds.dim_seasons(spark)
     countries = countries if countries is not None else seeds.dim_countries(spark)
     leagues = dims.build_dim_leagues(fixtures_env, countries)

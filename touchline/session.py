@@ -8,7 +8,6 @@ when they are unset (local runs).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -55,8 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="touchline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="touchline-ckpt-")   # one process, one machine
     if sc is not None:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(path)
@@ -74,5 +75,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/touchline/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def sf_dir_default() -> str:
-    return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, wherever Spark's file systems put it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
