@@ -7,8 +7,8 @@
   are first counted per distinct (partition keys, sort keys) tuple, a
   partial aggregate that reduces hot keys before the shuffle;
 * a global (unpartitioned) order is handled by ``prefix_sum``: range-
-  partition, running sum inside each range, plus the total of all earlier
-  ranges; only one row per range partition is broadcast;
+  partition and write the rows once, running sum inside each range, plus the
+  total of all earlier ranges (one row per range);
 * a partitioned rank runs its window over the distinct sort-key tuples of
   each group (for standings: distinct (points, goal difference, goals)
   triples of one season and league), never over raw rows;
@@ -23,30 +23,49 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.session import scratch_path
+
 
 def _sort_col(name: str, descending: bool) -> Column:
     c = F.col(name)
     return c.desc_nulls_last() if descending else c.asc_nulls_last()
 
 
+def _ranged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The rows in range partitions, sorted, each with its range and its place in it.
+
+    Written once to the shared folder and read back: everything derived from
+    the numbers sees the same copy, whatever the optimizer reuses or coalesces.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranged")
+    place = F.monotonically_increasing_id()   # range << 33 | place within it
+    (df.repartitionByRange(*order).sortWithinPartitions(*order)
+     .select("*", F.shiftright(place, 33).alias("_range"), place.bitwiseAND((1 << 33) - 1).alias("_place"))
+     .write.parquet(path))
+    return spark.read.parquet(path)
+
+
+def _offsets(ranged: DataFrame, weight: Column) -> DataFrame:
+    """Total weight of all earlier ranges, one row per range."""
+    totals = ranged.groupBy("_range").agg(F.sum(weight).alias("_tot"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(F.col("_range").alias("_r"), F.coalesce(F.sum("_tot").over(earlier), F.lit(0)).alias("_off"))
+
+
 def prefix_sum(df: DataFrame, order: Sequence[Column], weight: Column, out: str) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over all rows strictly before each row.
 
-    Rows are range-partitioned on ``order``; each range is summed locally
-    and offset by the totals of the earlier ranges (one row per partition).
-    Ties on ``order`` must not occur (callers pass a unique order).
+    Each range is summed locally and offset by the totals of the earlier
+    ranges. Ties on ``order`` must not occur (callers pass a unique order).
     """
-    ranged = (df.withColumn("_w", weight).repartitionByRange(*order)
-              .withColumn("_pid", F.spark_partition_id()))
-    local_before = Window.partitionBy("_pid").orderBy(*order) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_local", F.coalesce(F.sum("_w").over(local_before), F.lit(0)))
-    totals = ranged.groupBy("_pid").agg(F.sum("_w").alias("_tot"))
-    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", F.coalesce(F.sum("_tot").over(earlier), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_pid")
+    ranged = _ranged(df.withColumn("_w", weight), order)
+    before = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_local", F.coalesce(F.sum("_w").over(before), F.lit(0)))
+    offsets = _offsets(ranged, F.col("_w"))
+    return (local.join(offsets, F.col("_range") == F.col("_r"))
             .withColumn(out, (F.col("_local") + F.col("_off")).cast("long"))
-            .drop("_w", "_pid", "_local", "_off"))
+            .drop("_w", "_range", "_place", "_local", "_off", "_r"))
 
 
 def rank_by(df: DataFrame, order: Sequence[tuple[str, bool]], partition_by: Sequence[str] = (),
@@ -57,9 +76,8 @@ def rank_by(df: DataFrame, order: Sequence[tuple[str, bool]], partition_by: Sequ
     """
     keys = list(partition_by) + [c for c, _ in order]
     # count(struct(all columns)) equals count(*) (a struct is never NULL), but
-    # it keeps every column of ``df`` needed, so column pruning leaves both uses
-    # of ``df`` identical and Spark reuses their shuffles instead of computing
-    # the input twice.
+    # keeps every column of ``df`` needed, so both uses of ``df`` stay the same
+    # and Spark may compute it once. The result does not depend on that.
     tuples = df.groupBy(*keys).agg(F.count(F.struct(*df.columns)).alias("_rank_n"))
     sort = [_sort_col(c, d) for c, d in order]
     if partition_by:
@@ -80,7 +98,9 @@ def row_number_by(df: DataFrame, order: Sequence[tuple[str, bool]], name: str =
     """1..n over a global order (ROW_NUMBER() OVER (ORDER BY ...)), distributed.
 
     ``order`` should be unique; ties get distinct numbers in arbitrary order.
+    The rows are shuffled once, by range: their place in it is their number.
     """
-    sort = [_sort_col(c, d) for c, d in order]
-    return prefix_sum(df, sort, F.lit(1), "_before") \
-        .withColumn(name, F.col("_before") + 1).drop("_before")
+    ranged = _ranged(df, [_sort_col(c, d) for c, d in order])
+    return (ranged.join(_offsets(ranged, F.lit(1)), F.col("_range") == F.col("_r"))
+            .withColumn(name, (F.col("_off") + F.col("_place") + 1).cast("long"))
+            .drop("_range", "_place", "_off", "_r"))

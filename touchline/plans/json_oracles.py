@@ -7,8 +7,7 @@ expected flat result straight from the line items with the value recipe of
 
 from __future__ import annotations
 
-from touchline.plans.oracles import standings_sql, with_proxy
-from touchline.schemas import PLAYER_STAT_FIELDS, TEAM_STAT_FIELDS
+from touchline.plans.oracles import home_away_sql, standings_sql, with_proxy
 
 SIDE_CTES = """
 stat_side AS (
@@ -22,7 +21,8 @@ stat_side AS (
   GROUP BY l.l_orderkey, l.l_suppkey, b.Home_Team_ID),
 doc_state AS (
   SELECT Fixture_ID,
-         CASE WHEN q = 2 THEN 'wrong endpoint: fixtures/lineups' WHEN q = 1 THEN 'corrupt' END AS reason
+         CASE q WHEN 2 THEN 'wrong endpoint: fixtures/lineups' WHEN 1 THEN 'corrupt'
+                WHEN 3 THEN 'no usable id' END AS reason
   FROM stat_side WHERE Is_Home),
 valid_fixture AS (SELECT Fixture_ID FROM doc_state WHERE reason IS NULL),
 json_leagues AS (
@@ -33,82 +33,58 @@ json_leagues AS (
 """
 
 
-def _team_stat_values(lenient: bool) -> dict[str, str]:
-    possession = "CAST(q AS DOUBLE)" if lenient else \
-        "CASE WHEN r = 5 THEN NULL ELSE CAST(q AS DOUBLE) END"
-    return {
-        "Shots_On_Target": "CAST(q % 10 AS INTEGER)",
-        "Fouls": "CAST(n AS INTEGER)",
-        "Possession_Percentage": possession,
-        "Yellow_Cards": "CAST(lines % 4 AS INTEGER)",
-        "Red_Cards": "CASE WHEN r IN (4, 6) THEN NULL ELSE CAST(r AS INTEGER) END",
-        "Passes_Percentage": "CAST(r AS DOUBLE)",
-        "Expected_Goals": "CAST(CAST(n AS VARCHAR) || '.' || CAST(r AS VARCHAR) AS DOUBLE)",
-    }
-
-
+# Expected columns, written out: (column, value from a side's counters).
 def _team_stat_columns(lenient: bool) -> str:
-    vals = _team_stat_values(lenient)
-    cols = []
-    for _, out, rule, agg in TEAM_STAT_FIELDS:
-        typ = "DOUBLE" if agg == "avg" or rule == "dec" else "INTEGER"
-        cols.append(f"{vals.get(out, f'CAST(NULL AS {typ})')} AS {out}")
-    return ",\n  ".join(cols)
+    possession = "CAST(q AS DOUBLE)" if lenient else "CASE WHEN r = 5 THEN NULL ELSE CAST(q AS DOUBLE) END"
+    return f"""CAST(q % 10 AS INTEGER) AS Shots_On_Target, CAST(q % 11 AS INTEGER) AS Shots_Off_Target,
+  CAST(q % 23 + 4 AS INTEGER) AS Total_Shots, CAST(q % 7 AS INTEGER) AS Blocked_Shots,
+  CAST(q % 9 AS INTEGER) AS Shots_Inside_Box, CAST(q % 8 AS INTEGER) AS Shots_Outside_Box,
+  CAST(n AS INTEGER) AS Fouls, CAST(lines % 12 AS INTEGER) AS Corner_Kicks, CAST(lines % 5 AS INTEGER) AS Offsides,
+  {possession} AS Possession_Percentage, CAST(lines % 4 AS INTEGER) AS Yellow_Cards,
+  CASE WHEN r IN (4, 6) THEN NULL ELSE CAST(r AS INTEGER) END AS Red_Cards,
+  CAST(q % 6 AS INTEGER) AS Goalkeeper_Saves, CAST(q * 5 + 300 AS INTEGER) AS Total_Passes,
+  CAST(q * 4 + 200 AS INTEGER) AS Passes_Accurate, CAST(r AS DOUBLE) AS Passes_Percentage,
+  CAST(CAST(n AS VARCHAR) || '.' || CAST(r AS VARCHAR) AS DOUBLE) AS Expected_Goals"""
 
 
 def flatten_team_stats_sql(lenient: bool = False) -> str:
-    return with_proxy(f"""
-SELECT s.Fixture_ID, s.Team_ID,
-  {_team_stat_columns(lenient)}
-FROM stat_side s JOIN valid_fixture v ON s.Fixture_ID = v.Fixture_ID""", SIDE_CTES)
+    return with_proxy(f"SELECT Fixture_ID, Team_ID, {_team_stat_columns(lenient)} FROM stat_side", SIDE_CTES)
 
 
 FACT_TEAM_FROM_FIXTURES = with_proxy(f"""
-SELECT w.Fixture_ID, w.Team_ID, CAST(w.goals AS INTEGER) AS Goals_Scored,
-  CAST(o.goals AS INTEGER) AS Goals_Conceded, w.goals > o.goals AS Winner_Team,
-  {", ".join(f"w.{out}" for _, out, _, _ in TEAM_STAT_FIELDS)}
-FROM team_stats w
-JOIN stat_side o ON o.Fixture_ID = w.Fixture_ID AND o.Team_ID <> w.Team_ID""", SIDE_CTES + f""",
-team_stats AS (
-  SELECT s.Fixture_ID, s.Team_ID, s.goals,
-  {_team_stat_columns(False)}
-  FROM stat_side s JOIN valid_fixture v ON s.Fixture_ID = v.Fixture_ID)""")
-
-
-def _player_values() -> dict[str, str]:
-    q = "CAST(floor(l_quantity) AS INTEGER)"
-    ln = "l_linenumber"
-    return {
-        "Minutes_Played": f"least(90, 2 * {q})",
-        "Position": "CASE l_returnflag WHEN 'R' THEN 'G' WHEN 'A' THEN 'D' WHEN 'N' THEN 'F' END",
-        "Rating": f"CAST(CAST(CAST(round(l_tax * 100) AS INTEGER) AS VARCHAR) || '.' || "
-                  f"CAST({ln} AS VARCHAR) AS DOUBLE)",
-        "Substitute": f"{ln} > 4",
-        "Goals_Scored": f"NULLIF({ln} % 4, 0)", "Goals_Conceded": f"{q} % 4",
-        "Assists": f"NULLIF({ln} % 3, 0)", "Saves": f"{q} % 9",
-        "Passes": f"{q} * 3", "Passes_Key": f"{ln} % 3", "Pass_Accuracy": f"CAST({q} + 40 AS DOUBLE)",
-        "Yellow_Cards": f"{ln} % 2", "Red_Cards": f"CASE WHEN {ln} = 5 THEN 1 ELSE 0 END",
-        "Shots": f"{q} % 6", "Shots_On_Target": f"{q} % 3",
-        "Fouls_Committed": f"{q} % 7", "Fouls_Drawn": f"{ln} % 2",
-        "Penalty_Scored": f"CASE WHEN {ln} = 3 THEN 1 ELSE 0 END", "Penalty_Committed": "0",
-        "Offside": f"{q} % 2",
-    }
-
-
-def _player_columns() -> str:
-    vals = _player_values()
-    sql_type = {"int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
-    cols = []
-    for name, _, t in PLAYER_STAT_FIELDS:
-        v = vals.get(name, "NULL")
-        cols.append(f"CAST(CASE WHEN l_linenumber = 7 THEN NULL ELSE {v} END AS {sql_type[t]}) AS {name}")
-    return ",\n  ".join(cols)
-
-
-FLATTEN_PLAYER_STATS = f"""
+SELECT Fixture_ID, Team_ID, CAST(goals AS INTEGER) AS Goals_Scored, CAST(others - goals AS INTEGER) AS Goals_Conceded,
+  2 * goals > others AS Winner_Team, {_team_stat_columns(False)}
+FROM (SELECT *, sum(goals) OVER (PARTITION BY Fixture_ID) AS others FROM stat_side)""", SIDE_CTES)
+
+FLATTEN_PLAYER_STATS = """
+WITH a AS (
+  SELECT l_orderkey, l_suppkey, l_partkey, l_linenumber AS l, l_returnflag AS flag,
+         CAST(floor(l_quantity) AS INTEGER) AS q, CAST(CAST(round(l_tax * 100) AS INTEGER) AS VARCHAR) AS tax,
+         l_linenumber <> 7 AS has
+  FROM lineitem JOIN part ON p_partkey = l_partkey)
 SELECT l_orderkey AS Fixture_ID, l_suppkey AS Team_ID, l_partkey AS Player_ID,
-  {_player_columns()}
-FROM lineitem JOIN part ON p_partkey = l_partkey"""
+  CASE WHEN has THEN least(90, 2 * q) END AS Minutes_Played,
+  CASE WHEN has THEN CASE flag WHEN 'R' THEN 'G' WHEN 'A' THEN 'D' WHEN 'N' THEN 'F' END END AS Position,
+  CASE WHEN has THEN CAST(tax || '.' || CAST(l AS VARCHAR) AS DOUBLE) END AS Rating,
+  CASE WHEN has THEN l > 4 END AS Substitute,
+  CAST(CASE WHEN has THEN NULLIF(l % 4, 0) END AS INTEGER) AS Goals_Scored,
+  CASE WHEN has THEN q % 4 END AS Goals_Conceded,
+  CAST(CASE WHEN has THEN NULLIF(l % 3, 0) END AS INTEGER) AS Assists, CASE WHEN has THEN q % 9 END AS Saves,
+  CASE WHEN has THEN q * 3 END AS Passes, CAST(CASE WHEN has THEN l % 3 END AS INTEGER) AS Passes_Key,
+  CASE WHEN has THEN CAST(q + 40 AS DOUBLE) END AS Pass_Accuracy,
+  CAST(CASE WHEN has THEN l % 2 END AS INTEGER) AS Yellow_Cards, CASE WHEN has THEN (l = 5)::INTEGER END AS Red_Cards,
+  CASE WHEN has THEN q % 6 END AS Shots, CASE WHEN has THEN q % 3 END AS Shots_On_Target,
+  CASE WHEN has THEN q % 5 END AS Tackles, CAST(CASE WHEN has THEN (q + l) % 4 END AS INTEGER) AS Blocks,
+  CAST(CASE WHEN has THEN (q + 2 * l) % 6 END AS INTEGER) AS Interceptions,
+  CAST(CASE WHEN has THEN q % 12 + l END AS INTEGER) AS Duels, CASE WHEN has THEN q % 8 END AS Duels_Won,
+  CAST(CASE WHEN has THEN (q + l) % 9 END AS INTEGER) AS Dribbles_Attempted,
+  CAST(CASE WHEN has THEN (q + 3 * l) % 5 END AS INTEGER) AS Dribbles_Success,
+  CAST(CASE WHEN has THEN (2 * q + l) % 7 END AS INTEGER) AS Dribbled_Past,
+  CASE WHEN has THEN q % 7 END AS Fouls_Committed, CAST(CASE WHEN has THEN l % 2 END AS INTEGER) AS Fouls_Drawn,
+  CASE WHEN has THEN (l = 3)::INTEGER END AS Penalty_Scored, CASE WHEN has THEN (l = 2)::INTEGER END AS Penalty_Missed,
+  CASE WHEN has THEN (l = 1)::INTEGER END AS Penalty_Saved, CASE WHEN has THEN (l = 4)::INTEGER END AS Penalty_Won,
+  CASE WHEN has THEN (q = 13)::INTEGER END AS Penalty_Committed, CASE WHEN has THEN q % 2 END AS Offside
+FROM a"""
 
 ENVELOPE_VALID = with_proxy("SELECT Fixture_ID FROM valid_fixture", SIDE_CTES)
 ENVELOPE_QUARANTINE = with_proxy("""
@@ -146,6 +122,22 @@ JOIN stat_side h ON h.Fixture_ID = f.Fixture_ID AND h.Is_Home
 JOIN stat_side a ON a.Fixture_ID = f.Fixture_ID AND NOT a.Is_Home""", SIDE_CTES)
 
 
+QUARANTINE_BAD_KEY = with_proxy("""
+SELECT s.Team_ID, 'unknown' AS Fixture FROM stat_side s JOIN doc_state d USING (Fixture_ID)
+WHERE d.reason = 'no usable id'""", SIDE_CTES)
+FIXTURES_SEEDED = with_proxy("""
+SELECT Fixture_ID, CAST(CASE WHEN year(Match_Date) BETWEEN 1995 AND 1997 THEN year(Match_Date) - 1994 END AS INTEGER)
+  AS Season_ID, Home_Team_ID, Away_Team_ID
+FROM dim_fixtures""")
+VENUES_SEEDED = """
+SELECT s_suppkey AS Venue_ID, s_name AS Venue_Name, n_name AS City,
+       CAST(CASE r_name WHEN 'ASIA' THEN 11 WHEN 'EUROPE' THEN 12 END AS INTEGER) AS Country_ID,
+       CAST(floor(abs(s_acctbal)) AS INTEGER) AS Capacity
+FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey"""
+MULTILINE_SCAN = """
+SELECT CAST(n_nationkey AS VARCHAR) AS League, CAST(n_nationkey AS BIGINT) AS Team_ID, n_name AS Team_Name FROM nation"""
+
+
 def json_oracles() -> dict[str, str]:
     return {
         "flatten_team_stats": flatten_team_stats_sql(False),
@@ -163,4 +155,10 @@ def json_oracles() -> dict[str, str]:
         "fixtures_enriched": FIXTURES_ENRICHED,
         "fact_team_from_fixtures": FACT_TEAM_FROM_FIXTURES,
         "json_star_standings": standings_sql(per_league=True, json_star=True),
+        "standings_fanout": standings_sql(per_league=True, json_star=True, fanout=True),
+        "home_away_fanout": home_away_sql(fanout=True, json_star=True),
+        "quarantine_bad_key": QUARANTINE_BAD_KEY,
+        "fixtures_seeded": FIXTURES_SEEDED,
+        "venues_seeded": VENUES_SEEDED,
+        "multiline_scan": MULTILINE_SCAN,
     }

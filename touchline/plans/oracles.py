@@ -157,11 +157,13 @@ scores AS (
   FROM ladder GROUP BY {group}pts, diff, scored)""")
 
 
-def home_away_sql(fanout: bool = False) -> str:
+def home_away_sql(fanout: bool = False, json_star: bool = False) -> str:
+    league = "CAST(league AS BIGINT)" if json_star else "league"
+
     def points(side: str) -> str:
         return f"(3 * count(*) FILTER ({side} AND own > other) + count(*) FILTER ({side} AND own = other))"
     return with_proxy(f"""
-SELECT season AS Season_ID, league AS League_ID, name AS Team_Name,
+SELECT season AS Season_ID, {league} AS League_ID, name AS Team_Name,
        {points("at_home")} AS Home_Points, {points("NOT at_home")} AS Away_Points,
        CAST(coalesce(sum(own) FILTER (at_home), 0) AS BIGINT) AS Home_Goals,
        CAST(coalesce(sum(own) FILTER (NOT at_home), 0) AS BIGINT) AS Away_Goals,

@@ -11,18 +11,17 @@ Plan shape, chosen for scale and hot keys:
   * every per-order or per-part reduction is a ``groupBy`` with map-side
     partial aggregation, so an order or part holding a third of all rows
     is reduced before the shuffle;
-  * the two sides of a fixture are made by ``inline`` of a two-element
-    array, never by a self-join, and joined to the per-(order, supplier)
-    aggregate on that unique key;
-  * the opponent's goals come from a window over exactly two rows per
-    fixture.
+  * the two sides of a fixture come from one scan: an aggregate per (order,
+    supplier), then one per order that keeps the sums of the lowest and the
+    highest supplier in fixed-width columns, then ``inline`` of a two-element
+    array. No self-join and no window.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.sources.tables import ParquetTables
@@ -87,11 +86,13 @@ class ProxyStar:
 
     @cached_property
     def dim_players(self) -> DataFrame:
-        # Latest appearance wins: max over (Fixture_ID, Team_ID) per player,
-        # a partial aggregate, never a per-player sort.
+        # Latest appearance wins. (Fixture_ID, Team_ID) packed into one decimal
+        # is a fixed-width maximum: a hash aggregate, no sort.
+        packed = F.col("l_orderkey").cast("decimal(19,0)") * F.lit(10 ** 18).cast("decimal(19,0)") \
+            + F.col("l_suppkey").cast("decimal(18,0)")
         latest = (self.t.lineitem.groupBy(F.col("l_partkey").alias("Player_ID"))
-                  .agg(F.max(F.struct("l_orderkey", "l_suppkey")).alias("m"))
-                  .select("Player_ID", F.col("m.l_suppkey").alias("Team_ID")))
+                  .agg(F.max(packed.cast("decimal(38,0)")).alias("m"))
+                  .select("Player_ID", F.pmod("m", F.lit(10 ** 18).cast("decimal(38,0)")).cast("long").alias("Team_ID")))
         part = self.t.part.select(F.col("p_partkey").alias("Player_ID"),
                                   F.col("p_name").alias("Player_Name"))
         return latest.join(part, "Player_ID").select("Player_ID", "Player_Name", "Team_ID")
@@ -118,33 +119,37 @@ class ProxyStar:
 
     # -- facts --------------------------------------------------------------
     @cached_property
-    def team_side(self) -> DataFrame:
-        """One row per fixture side: (Fixture_ID, Team_ID, Is_Home, raw counters)."""
-        agg = (self.t.lineitem
-               .groupBy(F.col("l_orderkey").alias("Fixture_ID"), F.col("l_suppkey").alias("Team_ID"))
-               .agg(F.sum(_qty().cast("long")).alias("qty"), F.count(F.lit(1)).alias("n"),
-                    F.sum(F.col("l_linenumber").cast("long")).alias("lines")))
-        sides = self.fixture_base.select(
-            "Fixture_ID",
-            F.inline(F.array(
-                F.struct(F.col("Home_Team_ID").alias("Team_ID"), F.lit(True).alias("Is_Home")),
-                F.struct(F.col("Away_Team_ID").alias("Team_ID"), F.lit(False).alias("Is_Home")))))
-        return agg.join(sides, ["Fixture_ID", "Team_ID"])
+    def fixture_sides(self) -> DataFrame:
+        """One row per fixture: both team ids and their counters (h_ and a_)."""
+        team = F.col("l_suppkey")
+        per_team = (self.t.lineitem
+                    .groupBy(F.col("l_orderkey").alias("Fixture_ID"), team.alias("team"))
+                    .agg(F.sum(_qty().cast("long")).alias("qty"), F.count(F.lit(1)).alias("n"),
+                         F.sum(F.col("l_linenumber").cast("long")).alias("lines")))
+        # The counter of the lowest (highest) team rides in the low digits of a
+        # packed minimum (maximum), so every aggregate stays fixed-width.
+        base = F.lit(10 ** 18).cast("decimal(19,0)")
+        aggs = [F.min("team").alias("Home_Team_ID"), F.max("team").alias("Away_Team_ID")]
+        for c in ("qty", "n", "lines"):
+            both = (F.col("team").cast("decimal(19,0)") * base + F.col(c).cast("decimal(18,0)")).cast("decimal(38,0)")
+            aggs += [F.min(both).alias(f"h_{c}"), F.max(both).alias(f"a_{c}")]
+        low = F.lit(10 ** 18).cast("decimal(38,0)")
+        return (per_team.groupBy("Fixture_ID").agg(*aggs)
+                .where(F.col("Home_Team_ID") != F.col("Away_Team_ID"))
+                .withColumns({f"{s}_{c}": F.pmod(F.col(f"{s}_{c}"), low).cast("long")
+                              for s in "ha" for c in ("qty", "n", "lines")}))
 
     @cached_property
     def fact_team(self) -> DataFrame:
-        two_rows = Window.partitionBy("Fixture_ID")
-        goals = _int(F.col("qty") % 5)
-        return (self.team_side
-                .select("Fixture_ID", "Team_ID", goals.alias("Goals_Scored"),
-                        _int(F.col("n")).alias("Fouls"),
-                        _int(F.col("lines") % 4).alias("Yellow_Cards"),
-                        _int(F.nullif(F.col("lines") % 7, F.lit(6))).alias("Red_Cards"))
-                .withColumn("Goals_Conceded",
-                            _int(F.sum("Goals_Scored").over(two_rows) - F.col("Goals_Scored")))
-                .select("Fixture_ID", "Team_ID", "Goals_Scored", "Goals_Conceded",
-                        (F.col("Goals_Scored") > F.col("Goals_Conceded")).alias("Winner_Team"),
-                        "Fouls", "Yellow_Cards", "Red_Cards"))
+        def side(own: str, other: str, team: str) -> Column:
+            goals, conceded = _int(F.col(f"{own}_qty") % 5), _int(F.col(f"{other}_qty") % 5)
+            lines = F.col(f"{own}_lines")
+            return F.struct(F.col(team).alias("Team_ID"), goals.alias("Goals_Scored"),
+                            conceded.alias("Goals_Conceded"), (goals > conceded).alias("Winner_Team"),
+                            _int(F.col(f"{own}_n")).alias("Fouls"), _int(lines % 4).alias("Yellow_Cards"),
+                            _int(F.nullif(lines % 7, F.lit(6))).alias("Red_Cards"))
+        return self.fixture_sides.select("Fixture_ID", F.inline(F.array(
+            side("h", "a", "Home_Team_ID"), side("a", "h", "Away_Team_ID"))))
 
     @cached_property
     def fact_player(self) -> DataFrame:
