@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import (
-    SPACE_CLASS, SPACES, ascii_lower, text_digest, whole_row, with_text, words_of,
+    SPACE_CLASS, SPACES, ascii_lower, text_digest, whole_row, with_text, words_of, written,
 )
 
 #: Characters counted as symbols (fixed by the query's contract).
@@ -116,7 +116,7 @@ def removed_lines(documents: DataFrame, limits: LineLimits = LineLimits()) -> Da
     copies = documents.groupBy("source", text_digest(F.col("text")).alias("content")).agg(
         F.count(F.lit(1)).alias("n_copies"))
     hosts = copies.groupBy("source").agg(F.count(F.lit(1)).alias("host_docs"))
-    lines = document_lines(documents)
+    lines = written(document_lines(documents), "lines")
     counted = lines.groupBy("source", "line").agg(F.count(F.lit(1)).alias("n_docs"))
     often = (counted.where(F.col("n_docs") > limits.max_docs)
              .join(hosts, counted["source"].eqNullSafe(hosts["source"]))
