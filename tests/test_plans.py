@@ -51,3 +51,21 @@ def test_no_python_udf_in_report_plans(spark):
                reports.home_away(star), reports.top_scorers(star)):
         plan = _plan(df)
         assert "PythonUDF" not in plan and "EvalPython" not in plan
+
+
+def test_facts_scan_line_items_once_and_players_are_hashed(spark):
+    star = ProxyStar(spark, SF_SMALL)
+    facts = _plan(star.fact_team)
+    assert facts.count("FileScan parquet") == 1 and facts.count("Exchange hashpartitioning") == 2
+    assert "Window" not in facts and "Join" not in facts
+    assert "SortAggregate" not in _plan(star.dim_players) and "SortAggregate" not in facts
+
+
+def test_json_standings_land_no_player_documents(spark):
+    import os
+    from touchline.plans.json_proxy import JsonProxy
+    proxy = JsonProxy(spark, SF_SMALL)
+    reports.standings(proxy.star()).count()
+    landed = sorted(os.listdir(proxy.landing.replace("file:", "")))
+    assert landed == ["fixtures", "fixtures_statistics", "staged_fixtures", "staged_fixtures_statistics",
+                      "staged_teams", "teams"]

@@ -43,8 +43,41 @@ def test_row_number_and_dense_key(spark):
     assert keyed.agg(F.min("k"), F.max("k"), F.countDistinct("k")).first() == (1, 2000, 2000)
 
 
-def test_global_rank_plan_has_no_single_partition_over_rows(spark):
-    """The only single-partition exchange is over per-partition totals."""
+def test_global_rank_windows_never_hold_all_rows(spark):
+    """The rows are split by range on the way to the written copy; the only
+    single-partition exchange is over per-range totals."""
+    import re
     df = _data(spark)
     plan = rank_by(df, [("a", True)], name="r")._jdf.queryExecution().executedPlan().toString()
-    assert "RangePartitioning" in plan or "rangepartitioning" in plan.lower()
+    assert plan.count("SinglePartition") == 1
+    assert re.search(r"Exchange SinglePartition.*\n.*HashAggregate\(keys=\[_range", plan)
+
+
+def test_numbers_do_not_depend_on_optimizer_settings(spark):
+    """300,000 rows with extra columns, exchange reuse and coalescing on and off."""
+    n = 300_000
+    df = spark.range(n).select(((F.col("id") * 7919) % n).alias("k"), (F.col("id") % 1000).alias("a"),
+                               F.lit("x").alias("extra"))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.exchange.reuse", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for reuse in ("true", "false"):
+            for coalesce in ("true", "false"):
+                spark.conf.set("spark.sql.exchange.reuse", reuse)
+                spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+                keyed = dense_key(df, "key", ["k"])
+                assert keyed.columns == ["key", "k", "a", "extra"]
+                assert keyed.where(F.col("key") != F.col("k") + 1).count() == 0 and keyed.count() == n
+                ranked = rank_by(df, [("a", False)], name="r")
+                assert ranked.where(F.col("r") != F.col("a") * (n // 1000) + 1).count() == 0
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_hash_keys_tell_nulls_and_borders_apart(spark):
+    from touchline.operators.keys import digest_key, hash_key
+    df = spark.createDataFrame([(1, None, "a"), (None, 1, "a"), (None, None, "a"), (1, 1, "a"), (11, None, "a")],
+                               "x long, y long, z string")
+    assert hash_key(df, "k", ["x", "y"]).select("k").distinct().count() == 5
+    assert digest_key(df, "k", ["x", "y"]).select("k").distinct().count() == 5
+    assert hash_key(df, "k", ["x", "y"]).where("k < 0 OR k IS NULL").count() == 0

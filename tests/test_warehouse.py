@@ -56,3 +56,52 @@ def test_marts_and_staging(spark, scratch):
     staged = spark.read.parquet(f"{scratch}/staged")
     assert sorted((r._status, r._reason or "") for r in staged.select("_status", "_reason").collect()) \
         == [("quarantine", "corrupt"), ("valid", "")]
+
+
+def test_csv_keeps_every_string(spark, scratch):
+    from touchline.sources.warehouse import read_csv_typed, write_csv
+    names = ["A\nB", 'say "hi"', "x,y", "", None, " padded ", "back\\slash", "\r\n", "é;|"]
+    teams = conform(spark.createDataFrame([(i, n) for i, n in enumerate(names)], "Team_ID long, Team_Name string"),
+                    "dim_teams")
+    assert teams.schema == spark.createDataFrame([], STAR_DDL["dim_teams"]).schema   # NULL columns are typed
+    write_csv(teams, f"{scratch}/teams")
+    back = {r.Team_ID: r.Team_Name for r in read_csv_typed(spark, f"{scratch}/teams", "dim_teams").collect()}
+    assert back == dict(enumerate(names))
+
+
+def test_catalog_tables_prune_seasons_and_refresh_one(spark, scratch):
+    from pyspark.sql import functions as F
+    from touchline.operators import reports
+    from touchline.plans.marts import refresh_season, save_marts
+    from touchline.sources.warehouse import load_star, save_star_tables
+    star = ProxyStar(spark, SF_SMALL)
+    db = "star_test_" + scratch.rsplit("-", 1)[1]
+    rows = save_star_tables(star, db, f"{scratch}/tables")
+    assert rows["fact_team"] == star.fact_team.count() and set(rows) == set(STAR_TABLES)
+    season = load_star(spark, db, season_id=3)
+    plan = season.fact_team._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(Season_ID" in plan and "= 3)" in plan
+    whole = reports.standings(load_star(spark, db))
+    assert _same(reports.standings(season), whole.where("Season_ID = 3"))
+    save_marts(load_star(spark, db), db, f"{scratch}/marts")
+    before = spark.table(f"{db}.mart_standings").collect()
+    columns = [c for c in spark.table(f"{db}.mart_standings").columns if c != "Season_ID"]
+    spark.table(f"{db}.mart_standings").where("Season_ID = 4").write.parquet(f"{scratch}/four")
+    spark.read.parquet(f"{scratch}/four").createOrReplaceTempView("four")
+    spark.sql(f"INSERT OVERWRITE {db}.mart_standings PARTITION (Season_ID = 3) SELECT {', '.join(columns)} FROM four")
+    assert sorted(map(tuple, before), key=str) != sorted(
+        map(tuple, spark.table(f"{db}.mart_standings").collect()), key=str)
+    refresh_season(season, db, 3)
+    after = spark.table(f"{db}.mart_standings").collect()
+    assert sorted(map(tuple, before), key=str) == sorted(map(tuple, after), key=str)
+    assert spark.table(f"{db}.mart_home_away").where(F.col("Season_ID") == 3).count() > 0
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_rejects_are_counted(spark):
+    from touchline.sources.warehouse import load_rejects
+    raw = spark.createDataFrame([("1", "2021"), ("x", None), ("3", "20.5")], "Season_ID string, Season_Year string")
+    got = {r.Column_Name: (r.Rows, r.Rejected, r.Missing) for r in load_rejects(raw, "dim_seasons").collect()}
+    assert got == {"Season_ID": (3, 1, False), "Season_Year": (3, 1, False)}
+    missing = {r.Column_Name: r.Missing for r in load_rejects(raw.drop("Season_Year"), "dim_seasons").collect()}
+    assert missing == {"Season_ID": False, "Season_Year": True}

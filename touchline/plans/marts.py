@@ -1,9 +1,9 @@
 """Precomputed report tables (M1-M5).
 
 The reference answers slow dashboards with materialized views that are not
-in its code. The Spark equivalent is a mart table per report, rewritten
-with ``saveAsTable`` / Parquet after each load; reports over a season can
-be refreshed per season partition.
+in its code. The Spark equivalent is a mart table per report, written with
+``saveAsTable`` (or as plain Parquet) after each load; the marts that hold a
+season are partitioned by it and refreshed one season at a time.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators import reports
+from touchline.sources.warehouse import save_counted
 
 MARTS = {
     "mart_standings": lambda star: reports.standings(star, per_league=True),
@@ -49,11 +50,45 @@ def match_results_mart(star) -> DataFrame:
                       "Home_Goals", "Away_Goals", result.alias("Result"))
 
 
+ALL_MARTS = {**MARTS, "mart_match_results": match_results_mart}
+#: Marts with a Season_ID, which can be refreshed one season at a time.
+SEASON_MARTS = ("mart_standings", "mart_home_away", "mart_match_results")
+
+
 def write_marts(star, root: str, mode: str = "overwrite") -> dict[str, str]:
     """M1: materialize every report as a Parquet table under ``root``."""
     paths = {}
-    for name, build in {**MARTS, "mart_match_results": match_results_mart}.items():
+    for name, build in ALL_MARTS.items():
         path = f"{root.rstrip('/')}/{name}"
         build(star).write.mode(mode).parquet(path)
         paths[name] = path
     return paths
+
+
+def _season_last(df: DataFrame) -> DataFrame:
+    return df.select(*[c for c in df.columns if c != "Season_ID"], F.col("Season_ID").cast("int").alias("Season_ID"))
+
+
+def save_marts(star, database: str, root: str) -> dict[str, int]:
+    """M1 as catalog tables, season marts partitioned by season; rows per mart."""
+    star.dim_seasons.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/{database}.db'")
+    rows = {}
+    for name, build in ALL_MARTS.items():
+        by_season = name in SEASON_MARTS
+        df = _season_last(build(star)) if by_season else build(star)
+        rows[name] = save_counted(df, f"{database}.{name}", f"{root.rstrip('/')}/{name}",
+                                  "Season_ID" if by_season else None)
+    return rows
+
+
+def refresh_season(star, database: str, season_id: int) -> None:
+    """Rewrite one season's partition of the season marts; ``star`` holds that season
+    (``warehouse.load_star(spark, db, season_id)``). Other seasons are not touched."""
+    spark = star.dim_seasons.sparkSession
+    for name in SEASON_MARTS:
+        df = ALL_MARTS[name](star).where(F.col("Season_ID") == season_id).drop("Season_ID")
+        view = f"_refresh_{name}"
+        df.createOrReplaceTempView(view)
+        # A static partition: overwrites this one only, whatever the session's overwrite mode.
+        spark.sql(f"INSERT OVERWRITE {database}.{name} PARTITION (Season_ID = {int(season_id)}) SELECT * FROM {view}")
+        spark.catalog.dropTempView(view)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from touchline.plans.oracles import with_proxy
+from touchline.plans.oracles import standings_sql, with_proxy
 
 EAV_PIVOT_EVENTS = """
 SELECT user_id, max(value) FILTER (event_type = 'click') AS max_click,
@@ -118,8 +118,61 @@ SELECT Fixture_ID, Team_ID, Player_ID, Minutes_Played, Position, Rating, Goals_S
 FROM fact_player""")
 
 
+# All whole-number columns of each table, written out.
+_CHECKED = {
+    "dim_seasons": "Season_ID + Season_Year", "dim_countries": "Country_ID", "dim_leagues": "League_ID + Country_ID",
+    "dim_venues": "Venue_ID + Country_ID + Capacity", "dim_teams": "Team_ID + League_ID + Home_Venue_ID",
+    "dim_players": "Player_ID + Team_ID",
+    "dim_fixtures": "Fixture_ID + League_ID + Season_ID + Home_Team_ID + Away_Team_ID + Venue_ID",
+    "fact_player": "Fixture_ID + Team_ID + Player_ID + Minutes_Played + coalesce(Goals_Scored, 0) "
+                   "+ coalesce(Assists, 0) + Saves + Goals_Conceded",
+    "fact_team": "Fixture_ID + Team_ID + Goals_Scored + Goals_Conceded + Fouls + Yellow_Cards "
+                 "+ coalesce(Red_Cards, 0)"}
+LOAD_STAR_TABLES = with_proxy("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS Table_Name, count(*) AS Row_Count, CAST(sum({e}) AS BIGINT) AS Checksum FROM {t}"
+    for t, e in _CHECKED.items()))
+
+SEASON_STANDINGS = f"SELECT * FROM ({standings_sql(per_league=True, json_star=True)}) WHERE Season_ID = 3"
+
+LOAD_REJECTS = """
+SELECT * FROM (
+  SELECT 'Venue_ID' AS Column_Name, count(*) AS Rows, 0 AS Rejected, FALSE AS Missing FROM supplier
+  UNION ALL SELECT 'Venue_Name', count(*), 0, FALSE FROM supplier
+  UNION ALL SELECT 'City', count(*), 0, TRUE FROM supplier
+  UNION ALL SELECT 'Country_ID', count(*), count(*) FILTER (s_suppkey % 5 = 0), FALSE FROM supplier
+  UNION ALL SELECT 'Capacity', count(*), count(*) FILTER (s_suppkey % 7 = 0), FALSE FROM supplier)"""
+
+SURROGATE_KEY_HASH = """
+SELECT DISTINCT CAST(('0x' || substr(d, 1, 16))::UBIGINT // 2 AS BIGINT) AS Key, d AS Digest, A, B FROM (
+  SELECT A, B, sha256(coalesce(length(A::VARCHAR) || ':' || A::VARCHAR, '-') || ','
+                      || coalesce(length(B::VARCHAR) || ':' || B::VARCHAR, '-')) AS d
+  FROM (SELECT CASE WHEN l_linenumber % 2 = 0 THEN l_partkey END AS A,
+               CASE WHEN l_linenumber % 2 = 1 THEN l_partkey END AS B FROM lineitem))"""
+
+INGEST_ALL = with_proxy("""
+SELECT 'fixtures' AS Endpoint, count(*) AS Stored, CAST(sum(Fixture_ID) AS BIGINT) AS Key_Sum, 0 AS Quarantined
+FROM dim_fixtures
+UNION ALL SELECT 'teams', count(*), CAST(sum(s_suppkey) AS BIGINT), 0 FROM supplier
+UNION ALL SELECT 'fixtures/players', count(*), CAST(sum(l_orderkey + l_suppkey + l_partkey) AS BIGINT), 0
+FROM (SELECT DISTINCT l_orderkey, l_suppkey, l_partkey FROM lineitem JOIN part ON p_partkey = l_partkey)
+UNION ALL
+SELECT 'fixtures/statistics', count(*) FILTER (bad = 0), CAST(sum(Fixture_ID + Team_ID) FILTER (bad = 0) AS BIGINT),
+       count(*) FILTER (bad = 1) // 2
+FROM (SELECT Fixture_ID, Team_ID, max(CASE WHEN at_home AND total % 101 IN (1, 2, 3) THEN 1 ELSE 0 END)
+             OVER (PARTITION BY Fixture_ID) AS bad
+      FROM (SELECT b.Fixture_ID, l_suppkey AS Team_ID, l_suppkey = b.Home_Team_ID AS at_home,
+                   sum(CAST(floor(l_quantity) AS BIGINT)) AS total
+            FROM lineitem JOIN fixture_base b ON b.Fixture_ID = l_orderkey AND l_suppkey IN (b.Home_Team_ID, b.Away_Team_ID)
+            GROUP BY ALL))""")
+
+
 def more_oracles() -> dict[str, str]:
     return {
+        "load_star_tables_roundtrip": LOAD_STAR_TABLES,
+        "season_standings": SEASON_STANDINGS,
+        "load_rejects": LOAD_REJECTS,
+        "surrogate_key_hash": SURROGATE_KEY_HASH,
+        "ingest_all_endpoints": INGEST_ALL,
         "eav_pivot_events": EAV_PIVOT_EVENTS,
         "events_props_json": EVENTS_PROPS_JSON,
         "coerce_int": COERCE_INT,

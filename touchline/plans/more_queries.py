@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.coerce import TEXT_RULES
-from touchline.operators import quality
+from touchline.operators import quality, reports
 from touchline.operators.flatten import eav_pivot
-from touchline.operators.keys import dense_key
+from touchline.operators.keys import dense_key, digest_key, hash_key
 from touchline.plans.marts import match_results_mart
 from touchline.plans.proxy import ProxyStar
+from touchline.plans.proxy_envelopes import ProxyEnvelopes
+from touchline.schemas import ENDPOINT_FIXTURES, ENDPOINT_PLAYERS, ENDPOINT_STATISTICS, ENDPOINT_TEAMS
 from touchline.session import scratch_path
+from touchline.sources import warehouse
 from touchline.sources.tables import ParquetTables
+from touchline.streaming import incremental as inc
 from touchline.streaming.incremental import pending, stream_table
 
 # Event types of the driver's ``events`` table.
@@ -143,7 +149,92 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Goals_Scored", "Assists", "Saves", "Goals_Conceded")
 
 
+def _saved(spark: SparkSession, sf_dir: str) -> str:
+    """The proxy star through CSV into catalog tables of a database of its own."""
+    root = scratch_path(spark, "warehouse")
+    database = "star_" + root.rsplit("-", 1)[1]
+    warehouse.write_star_csv(ProxyStar(spark, sf_dir), f"{root}/csv")
+    warehouse.load_csv_to_tables(spark, f"{root}/csv", database, f"{root}/tables")
+    return database
+
+
+def load_star_tables_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine tables through CSV and the catalog; per table the
+    rows and the sum of all whole-number columns."""
+    star = warehouse.load_star(spark, _saved(spark, sf_dir))
+    parts = []
+    for name, df in star.items():
+        own = [f.name for f in df.schema if f.dataType.simpleString() in ("int", "bigint")
+               and f.name not in ("Player_Stat_ID", "Team_Stat_ID")]
+        row = sum((F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long")) for c in own[1:]),
+                  F.coalesce(F.col(own[0]).cast("long"), F.lit(0).cast("long")))
+        parts.append(df.agg(F.count(F.lit(1)).alias("Row_Count"), F.sum(row).alias("Checksum"))
+                     .select(F.lit(name).alias("Table_Name"), "Row_Count", "Checksum"))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def season_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 for one season from catalog tables: one partition of the facts is read."""
+    return reports.standings(warehouse.load_star(spark, _saved(spark, sf_dir), season_id=3))
+
+
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: what a load of a damaged venue export rejects."""
+    s = ParquetTables(spark, sf_dir).supplier
+    capacity = F.when(F.col("s_suppkey") % 7 == 0, "n/a").otherwise(F.floor(F.abs("s_acctbal")).cast("string"))
+    country = F.when(F.col("s_suppkey") % 5 == 0, "12x").when(F.col("s_suppkey") % 5 == 1, F.lit(None)).otherwise("3")
+    path = scratch_path(spark, "rejects")
+    warehouse.write_csv(s.select(
+        F.col("s_suppkey").cast("string").alias("Venue_ID"), F.concat("s_name", F.lit("\n,\"")).alias("Venue_Name"),
+        country.alias("Country_ID"), capacity.alias("Capacity")), path)
+    return warehouse.load_rejects(warehouse.read_csv_raw(spark, path), "dim_venues")
+
+
+def surrogate_key_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest key over a natural key with NULLs; the key itself is compared."""
+    li = ParquetTables(spark, sf_dir).lineitem
+    a = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_partkey"))
+    b = F.when(F.col("l_linenumber") % 2 == 1, F.col("l_partkey"))
+    rows = li.select(a.alias("A"), b.alias("B")).distinct()
+    return hash_key(digest_key(rows, "Digest", ["A", "B"]), "Key", ["A", "B"]).select("Key", "Digest", "A", "B")
+
+
+def ingest_all_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B4-B5 for the four endpoints: JSON documents through file streams into tables."""
+    proxy = ProxyStar(spark, sf_dir)
+    docs, root = ProxyEnvelopes(proxy, defects=True), scratch_path(spark, "ingest")
+    first = F.get("response", F.lit(0))
+    # The proxy writes one players document per appearance, so that is its key.
+    player_key = {**inc.fixture_key(), "Team_ID": first["team"]["id"],
+                  "Player_ID": F.get(first["players"], F.lit(0))["player"]["id"]}
+    plan = {
+        ENDPOINT_FIXTURES: (inc.fixture_rows_to_upsert(proxy.dim_seasons), ["Fixture_ID"], ["Fixture_ID"]),
+        ENDPOINT_TEAMS: (inc.team_rows_to_upsert(proxy.dim_countries), ["Team_ID"], ["Team_ID"]),
+        ENDPOINT_PLAYERS: (lambda env: inc.player_rows_to_upsert(env, key=player_key),
+                           list(player_key), list(player_key)),
+        ENDPOINT_STATISTICS: (inc.statistics_rows, ["Fixture_ID", "Team_ID"], ["Fixture_ID"]),
+    }
+    parts = []
+    for endpoint, (to_rows, keys, document) in plan.items():
+        name = endpoint.replace("/", "_")
+        inc.ingest_envelopes(spark, docs.land(endpoint, f"{root}/landing"), endpoint, f"{root}/{name}",
+                             f"{root}/{name}_quarantine", f"{root}/{name}_checkpoint", to_rows, keys,
+                             f"{keys[0]}_Range", document, glob="*.txt", multiline=False)
+        table = spark.read.parquet(f"{root}/{name}")
+        bad = spark.read.parquet(f"{root}/{name}_quarantine")
+        total = reduce(lambda x, y: x + y, [F.col(k) for k in keys])
+        parts.append(table.agg(F.count(F.lit(1)).alias("Stored"), F.sum(total).alias("Key_Sum"))
+                     .crossJoin(bad.agg(F.count(F.lit(1)).alias("Quarantined")))   # one row each
+                     .select(F.lit(endpoint).alias("Endpoint"), "Stored", "Key_Sum", "Quarantined"))
+    return reduce(DataFrame.unionAll, parts)
+
+
 MORE_QUERIES = {
+    "load_star_tables_roundtrip": load_star_tables_roundtrip,
+    "season_standings": season_standings,
+    "load_rejects": load_rejects,
+    "surrogate_key_hash": surrogate_key_hash,
+    "ingest_all_endpoints": ingest_all_endpoints,
     "eav_pivot_events": eav_pivot_events,
     "events_props_json": events_props_json,
     "coerce_int": coerce_query("int"),

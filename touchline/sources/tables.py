@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = (
@@ -37,18 +35,3 @@ class ParquetTables:
 def catalog_table(spark: SparkSession, database: str | None, name: str) -> DataFrame:
     """A table registered in the session catalog."""
     return spark.table(f"{database}.{name}" if database else name)
-
-
-class CatalogTables:
-    """Same interface as ``ParquetTables`` over catalog tables."""
-
-    def __init__(self, spark: SparkSession, database: str | None = None):
-        self.spark = spark
-        self.database = database
-
-    def table(self, name: str) -> DataFrame:
-        return catalog_table(self.spark, self.database, name)
-
-    @cached_property
-    def names(self) -> list[str]:
-        return [t.name for t in self.spark.catalog.listTables(self.database)]

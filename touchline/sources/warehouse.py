@@ -1,55 +1,86 @@
-"""Star-schema sinks and the typed load.
+"""Star-schema sinks and the typed load.
 
 * ``write_star_csv``: one CSV folder per table with a header (the reference's
   export format); seed tables are coalesced to one file (K3), everything
-  else is written in parallel.
+  else is written in parallel. Quotes, commas, line breaks, blanks, empty
+  strings and NULLs come back as they were.
 * ``load_star_csv``: CSV is read as strings and each DDL column is picked
   **by header name** and converted with ``try_cast`` (the reference's
   positional COPY mixes up columns whose CSV order differs from the DDL,
-  Q-2); the declared star schema is the contract.
-* ``write_star_tables`` / ``load_star_tables``: Parquet tables (columnar,
-  predicate pushdown, column pruning) registered in the catalog.
+  Q-2); the declared star schema is the contract. ``load_rejects`` counts per
+  column what did not convert or was missing.
+* ``save_star_tables`` / ``load_star``: catalog tables (Parquet), facts
+  partitioned by season, so a report on one season reads one partition.
+  Row counts are observed while writing (K5), without another pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.schemas import STAR_DDL, star_schema
+from touchline.sources.tables import catalog_table
 from touchline.star import STAR_TABLES, Star
 
 SEED_TABLES = ("dim_seasons", "dim_countries")
 
 
+def _raw(df: DataFrame, field: T.StructField) -> Column:
+    """The column of a DDL field by name, or a typed NULL."""
+    found = {c.lower(): c for c in df.columns}.get(field.name.lower())
+    return F.col(f"`{found}`") if found else F.lit(None).cast("string")
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Select the DDL columns of ``table`` by name with their DDL types.
 
     Missing columns become typed NULLs; values that do not convert become
-    NULL (``try_cast``), never an error.
+    NULL (``try_cast``), never an error; ``load_rejects`` counts both.
+    """
+    return df.select(*[
+        (_raw(df, f) if isinstance(f.dataType, T.StringType) else _raw(df, f).try_cast(f.dataType)).alias(f.name)
+        for f in star_schema(table).fields])
+
+
+def load_rejects(df: DataFrame, table: str) -> DataFrame:
+    """Column_Name, Rows, Rejected (values that do not convert), Missing (no such column).
+
+    One aggregate over the raw rows.
     """
-    cols = []
-    lower = {c.lower(): c for c in df.columns}
-    for f in star_schema(table).fields:
-        src = lower.get(f.name.lower())
-        c = F.col(src) if src else F.lit(None)
-        cols.append((c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType))
-                    .alias(f.name))
-    return df.select(*cols)
+    names = {c.lower() for c in df.columns}
+    fields = star_schema(table).fields
+    bad = [F.count_if(_raw(df, f).isNotNull() & _raw(df, f).try_cast(f.dataType).isNull()).alias(f.name) for f in fields]
+    counted = df.agg(F.count(F.lit(1)).alias("_rows"), *bad)
+    return counted.select(F.inline(F.array(*[
+        F.struct(F.lit(f.name).alias("Column_Name"), F.col("_rows").alias("Rows"), F.col(f.name).alias("Rejected"),
+                 F.lit(f.name.lower() not in names).alias("Missing")) for f in fields])))
+
+
+#: Written and read alike, so that every string comes back as it was.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false", "emptyValue": '""'}
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
     """K1/K2/K3: CSV with a header row."""
     if single_file:
         df = df.coalesce(1)
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+
+
+def read_csv_raw(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
+    """Header CSV as strings. With ``line_breaks`` a quoted value may hold them; such
+    a file is read by one task, so facts (no free text) are read without."""
+    # A field without quotes is read as the marker, and so as NULL; "" stays an empty string.
+    options = {**CSV_OPTIONS, "emptyValue": "", "nullValue": "\ue000", "multiLine": str(line_breaks).lower(), "inferSchema": "false"}
+    return spark.read.options(**options).csv(path)
 
 
 def read_csv_typed(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Header CSV -> strings -> DDL columns by name with try_cast."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return conform(raw, table)
+    return conform(read_csv_raw(spark, path, line_breaks=not table.startswith("fact_")), table)
 
 
 def write_star_csv(star, root: str, mode: str = "overwrite") -> dict[str, str]:
@@ -84,7 +115,47 @@ def load_star_tables(spark: SparkSession, root: str) -> Star:
                    for n in STAR_TABLES})
 
 
-def register_star(spark: SparkSession, star, database: str | None = None) -> None:
-    """Expose the star as temp views (``<database>_<table>`` when given)."""
+# -- catalog tables -------------------------------------------------------------
+def _with_season(star, name: str) -> DataFrame:
+    """A fact's DDL columns plus the season of its fixture (the partition column)."""
+    seasons = star.dim_fixtures.select("Fixture_ID", F.col("Season_ID").cast("int").alias("Season_ID"))
+    return conform(getattr(star, name), name).join(seasons, "Fixture_ID", "left").select(
+        *star_schema(name).fieldNames(), "Season_ID")
+
+
+def save_counted(df: DataFrame, table: str, path: str, partition_by: str | None = None) -> int:
+    """K4/K5: write a catalog table at ``path``; the rows written are counted on the way."""
+    seen = Observation(table.replace(".", "_"))
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.saveAsTable(table)
+    return seen.get["rows"]
+
+
+def save_star_tables(star, database: str, root: str) -> dict[str, int]:
+    """The star as catalog tables under ``root``; rows per table."""
+    star.dim_seasons.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/{database}.db'")
+    rows = {}
+    for name in STAR_TABLES:
+        fact = name.startswith("fact_")
+        df = _with_season(star, name) if fact else conform(getattr(star, name), name)
+        rows[name] = save_counted(df, f"{database}.{name}", f"{root.rstrip('/')}/{name}", "Season_ID" if fact else None)
+    return rows
+
+
+def load_csv_to_tables(spark: SparkSession, csv_dir: str, database: str, root: str) -> dict[str, int]:
+    """Every CSV folder into its catalog table."""
+    return save_star_tables(load_star_csv(spark, csv_dir), database, root)
+
+
+def load_star(spark: SparkSession, database: str, season_id: int | None = None) -> Star:
+    """The star over catalog tables; with ``season_id`` only that season's partition
+    of the facts (and its fixtures) is read."""
+    tables = {}
     for name in STAR_TABLES:
-        getattr(star, name).createOrReplaceTempView(f"{database}_{name}" if database else name)
+        df = catalog_table(spark, database, name)
+        if season_id is not None and (name.startswith("fact_") or name == "dim_fixtures"):
+            df = df.where(F.col("Season_ID") == season_id)
+        tables[name] = df.drop("Season_ID") if name.startswith("fact_") else df
+    return Star(**tables)

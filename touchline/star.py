@@ -30,7 +30,3 @@ class Star:
 
     def items(self):
         return [(f.name, getattr(self, f.name)) for f in fields(self)]
-
-    def register_views(self, prefix: str = "") -> None:
-        for name, df in self.items():
-            df.createOrReplaceTempView(prefix + name)
