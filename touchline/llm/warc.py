@@ -143,8 +143,8 @@ def write_archives(pages: DataFrame, root: str, min_revisit_bytes: int = 0, leve
         frame = pd.DataFrame(rows, columns=["path", "offset", "length", "page_id", "record_type"])
         yield frame.astype({"page_id": "Int64"})
 
-    rows = chunk_rows(pages, min_revisit_bytes).repartition("row").sortWithinPartitions("row", "start")
-    return written(rows.mapInPandas(write, MANIFEST), "warc-manifest")
+    # A record's chunks come from one row, so they stand together in one task.
+    return written(chunk_rows(pages, min_revisit_bytes).mapInPandas(write, MANIFEST), "warc-manifest")
 
 
 class _Member:
@@ -254,7 +254,8 @@ def records(chunks: DataFrame) -> DataFrame:
     digest = F.when((F.col("record_type") == "response") & (F.col("digest") != F.col("header_digest")),
                     F.raise_error(F.concat(F.lit("payload digest differs: "), F.col("header_digest")))
                     .cast("string")).otherwise(F.col("header_digest"))
-    return (last.join(sizes, (F.col("refers_to") == F.col("r_id"))
+    # The manifest is far smaller than what it lists, so its size must not lead to a broadcast.
+    return (last.join(sizes.hint("merge"), (F.col("refers_to") == F.col("r_id"))
                       & (F.col("header_digest") == F.col("r_digest")), "left")
             .select("page_id", F.when(F.col("record_type") == "response", F.col("n_bytes"))
                     .otherwise(F.col("r_bytes")).alias("payload_bytes"),
