@@ -111,36 +111,40 @@ def multiline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "League", F.col("t.id").alias("Team_ID"), F.col("t.name").alias("Team_Name"))
 
 
-JSON_QUERIES = {
-    "flatten_team_stats": lambda s, d: facts.team_statistics(_j(s, d).valid(ENDPOINT_STATISTICS)),
-    "flatten_team_stats_lenient": lambda s, d: facts.team_statistics(
-        _j(s, d).valid(ENDPOINT_STATISTICS), strict=False),
-    "flatten_player_stats": lambda s, d: facts.build_fact_player(
-        _j(s, d).valid(ENDPOINT_PLAYERS)).drop("Player_Stat_ID"),
-    "envelope_valid": lambda s, d: _j(s, d, True).valid(ENDPOINT_STATISTICS).select(
-        fixture_param().alias("Fixture_ID")),
-    "envelope_quarantine": lambda s, d: _j(s, d, True).quarantine(ENDPOINT_STATISTICS)
+#: Queries over clean documents: name -> function of a ``JsonProxy``.
+JSON_VIEWS = {
+    "flatten_team_stats": lambda j: facts.team_statistics(j.valid(ENDPOINT_STATISTICS)),
+    "flatten_team_stats_lenient": lambda j: facts.team_statistics(j.valid(ENDPOINT_STATISTICS), strict=False),
+    "flatten_player_stats": lambda j: facts.build_fact_player(j.valid(ENDPOINT_PLAYERS)).drop("Player_Stat_ID"),
+    "dim_leagues": lambda j: j.leagues,
+    "dim_venues": lambda j: dims.build_dim_venues(j.valid(ENDPOINT_TEAMS), j.countries),
+    "dim_teams": lambda j: dims.build_dim_teams(j.valid(ENDPOINT_TEAMS), j.countries),
+    "dim_teams_fanout": lambda j: dims.build_dim_teams(
+        j.valid(ENDPOINT_TEAMS), j.countries, j.leagues, league_source="country"),
+    "dim_players_latest": lambda j: dims.build_dim_players(j.valid(ENDPOINT_PLAYERS)),
+    "fixtures_enriched": lambda j: j.fixtures_work,
+    "fact_team_from_fixtures": lambda j: facts.build_fact_team(
+        j.valid(ENDPOINT_STATISTICS), j.fixtures_work).drop("Team_Stat_ID"),
+    "json_star_standings": lambda j: reports.standings(j.star(), per_league=True),
+    "standings_fanout": lambda j: reports.standings(j.star(league_source="country"), per_league=True, fanout=True),
+    "home_away_fanout": lambda j: reports.home_away(j.star(league_source="country"), fanout=True),
+}
+
+#: Queries over partly damaged documents.
+DEFECT_VIEWS = {
+    "envelope_valid": lambda j: j.valid(ENDPOINT_STATISTICS).select(fixture_param().alias("Fixture_ID")),
+    "envelope_quarantine": lambda j: j.quarantine(ENDPOINT_STATISTICS)
         .groupBy(F.col("_reason").alias("Reason")).agg(F.count(F.lit(1)).alias("Documents")),
-    "dim_seasons": lambda s, d: ProxyStar(s, d).dim_seasons,
-    "dim_countries": lambda s, d: ProxyStar(s, d).dim_countries,
-    "dim_leagues": lambda s, d: _j(s, d).leagues,
-    "dim_venues": lambda s, d: dims.build_dim_venues(_j(s, d).valid(ENDPOINT_TEAMS),
-                                                     ProxyStar(s, d).dim_countries),
-    "dim_teams": lambda s, d: dims.build_dim_teams(
-        _j(s, d).valid(ENDPOINT_TEAMS), ProxyStar(s, d).dim_countries, league_source="parameters"),
-    "dim_teams_fanout": lambda s, d: (lambda j: dims.build_dim_teams(
-        j.valid(ENDPOINT_TEAMS), j.countries, j.leagues, league_source="country"))(_j(s, d)),
-    "dim_players_latest": lambda s, d: dims.build_dim_players(_j(s, d).valid(ENDPOINT_PLAYERS)),
-    "fixtures_enriched": lambda s, d: _j(s, d).fixtures_work,
-    "fact_team_from_fixtures": lambda s, d: (lambda j: facts.build_fact_team(
-        j.valid(ENDPOINT_STATISTICS), j.fixtures_work))(_j(s, d)).drop("Team_Stat_ID"),
-    "json_star_standings": lambda s, d: reports.standings(_j(s, d).star(), per_league=True),
-    "standings_fanout": lambda s, d: reports.standings(
-        _j(s, d).star(league_source="country"), per_league=True, fanout=True),
-    "home_away_fanout": lambda s, d: reports.home_away(_j(s, d).star(league_source="country"), fanout=True),
-    "quarantine_bad_key": lambda s, d: _j(s, d, True).quarantine(ENDPOINT_STATISTICS)
+    "quarantine_bad_key": lambda j: j.quarantine(ENDPOINT_STATISTICS)
         .where(F.col("_reason") == "no usable id").select(
             F.explode("response.team.id").alias("Team_ID"), F.col("parameters.fixture").alias("Fixture")),
+}
+
+JSON_QUERIES = {
+    **{name: (lambda s, d, view=view: view(_j(s, d))) for name, view in JSON_VIEWS.items()},
+    **{name: (lambda s, d, view=view: view(_j(s, d, True))) for name, view in DEFECT_VIEWS.items()},
+    "dim_seasons": lambda s, d: ProxyStar(s, d).dim_seasons,
+    "dim_countries": lambda s, d: ProxyStar(s, d).dim_countries,
     "fixtures_seeded": fixtures_seeded,
     "venues_seeded": venues_seeded,
     "multiline_scan": multiline_scan,
