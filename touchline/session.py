@@ -75,6 +75,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/touchline/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete everything that ``scratch_path`` handed out under this checkpoint folder.
+
+    For the end of a run: results that still read from there must be written first.
+    """
+    remove_folder(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/touchline")
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library wrote, wherever Spark's file systems put it."""
     jvm = spark.sparkContext._jvm
