@@ -20,8 +20,9 @@ Verification: of the item's question and of its answer, each at least
 answer column, the answer is the last sentence of the item's text, the
 question the rest (the whole text if it has one sentence).
 
-The index is broadcast in shards of at most ``shard_items`` items, each shard
-a pass over the corpus, so its size is bounded whatever the benchmark's.
+The index is broadcast in shards of about ``shard_items`` items and
+``shard_chars`` characters at most, dealt by a hash, each a pass over the
+corpus, so its size is bounded whatever the benchmark's.
 
 Defined results: NULL and empty texts match nothing, and items without a word
 are never matched. Repeated rows give one row per (doc_id, item_id); repeated
@@ -55,6 +56,7 @@ class Settings:
     b: float = 0.75
     block: int = 8           # items in a block
     shard_items: int = 20_000
+    shard_chars: int = 20_000_000
 
 
 def words(text: str | None) -> list[str]:
@@ -204,7 +206,8 @@ class Index:
 def _shards(benchmark: DataFrame, settings: Settings) -> Iterator[list[tuple[int, str]]]:
     """The items in bounded lists, in order of a hash."""
     items = benchmark.select("item_id", "text").where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
-    n = -(-items.count() // settings.shard_items)
+    size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    n = max(-(-size["n"] // settings.shard_items), -(-size["chars"] // settings.shard_chars)) if size["n"] else 0
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items
         yield sorted((r[0], r[1]) for r in part.collect())
