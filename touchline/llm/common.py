@@ -59,8 +59,15 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows in an Arrow batch: texts are long, and a worker holds a few batches at once.
+BATCH_ROWS = 1000
+
+
 def share_package(spark: SparkSession) -> None:
-    """Let Python workers import this package where PYTHONPATH does not name it."""
+    """Let Python workers import this package where PYTHONPATH does not name it, and
+    keep their batches small where the session has Spark's default."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

@@ -18,8 +18,10 @@ Two kinds of model decide which last piece is best:
              merging the whole text.
 
 If no piece holds the space mark after another character, all paths meet at
-the start of every run of space marks. Such chunks recur, so each worker
-remembers the ids of short ones.
+the start of every run of space marks, and the chunks between those can be
+searched side by side: short new chunks of a batch advance together, one
+boundary at a time, over a trie of the pieces. Chunks recur, so each worker
+remembers the ids of a bounded number of them.
 
 Text is used as it is (identity normalisation) with one space mark put in
 front. Characters without a piece become byte pieces, or the unknown id.
@@ -45,9 +47,14 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Entries of a worker's memory of short chunks.
-MEMORY = 300_000
-_CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+#: Entries of a worker's memory of short chunks, and of its memory of piece pairs.
+MEMORY = 400_000
+PAIRS = 100_000
+#: Slots of the table of piece pairs (a power of two).
+SLOTS = 1 << 20
+#: Longest chunk searched side by side, and characters of text taken at a time.
+SHORT = 48
+STRETCH = 1 << 20
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 
 
@@ -69,10 +76,22 @@ class Codec:
         #: Lengths of the pieces that end in a character, longest first.
         self.lengths = {c: sorted(n, reverse=True) for c, n in by_end.items()}
         self.chunked = not any(MARK in p.lstrip(MARK) for p in self.id)
+        # Control characters without a piece stand alone.
+        lone = "".join(c for c in "\n\r\t" if not any(c in p for p in self.id))
+        self.chunk = re.compile((f"[{lone}]|" if lone else "") + f"{MARK}*[^{MARK}{lone}]+|{MARK}+")
         self.floor = min(self.score.values(), default=0.0) - 10.0
         self.spines: dict[str, tuple[list[str], list[str]] | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.memory: dict[str, tuple[int, ...]] = {}
+        #: Chunk -> its ids, packed.
+        self.memory: dict[str, bytes] = {}
+        self.elder: dict[str, bytes] = {}
+        self.dtype = np.dtype("<u2" if len(pieces) < 1 << 16 else "<i4")
+        self.letter = None
+        #: What each id decodes to; bytes of longer characters are marked in ``high``.
+        self.shown = np.array([chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else p.replace(MARK, " ")
+                               for i, p in enumerate(pieces)], dtype=object)
+        self.shown[unk_id] = "\ufffd"
+        self.high = np.array([self.byte_of.get(i, 0) >= 128 for i in range(len(pieces))])
 
     def _spines(self, piece: str) -> tuple[list[str], list[str]] | None:
         """How merging builds a piece at its right and at its left edge.
@@ -150,7 +169,7 @@ class Codec:
                     key = (last[s - base], piece)
                     fits = pairs.get(key)
                     if fits is None:
-                        if len(pairs) >= 4 * MEMORY:
+                        if len(pairs) >= PAIRS:
                             pairs.clear()
                         fits = pairs[key] = self._follows(*key)
                     if fits:
@@ -210,42 +229,171 @@ class Codec:
                 out.append(self.unk_id)
         return out
 
-    def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        marked = MARK + text.replace(" ", MARK)
+    def _trie(self) -> None:
+        """Edges (node, character) -> node as sorted keys; the piece that ends at each node."""
+        letters = sorted({c for p in self.id for c in p})
+        self.letter = np.zeros(0x110000, np.int32)
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.width = len(letters) + 1
+        nodes, ends = {"": 0}, {}
+        edges: dict[int, int] = {}
+        for piece, i in self.id.items():
+            for k in range(1, len(piece) + 1):
+                if piece[:k] not in nodes:
+                    nodes[piece[:k]] = len(nodes)
+                    edges[nodes[piece[:k - 1]] * self.width + int(self.letter[ord(piece[k - 1])])] = nodes[piece[:k]]
+            ends[nodes[piece]] = i
+        keys = np.array(sorted(edges), np.int64)
+        self.edge_keys, self.edge_to = keys, np.array([edges[k] for k in keys.tolist()], np.int64)
+        self.node_piece = np.full(len(nodes), -1, np.int64)
+        self.node_piece[list(ends)] = list(ends.values())
+        self.piece_len = np.array([len(p) for p in self.pieces])
+        self.slot_keys, self.slot_fits = np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, bool)
+
+    def _fitting(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """``_follows`` for arrays of piece ids; -1 before means the start.
+
+        Answers are kept in a table with one slot per hash; a newer pair takes
+        the slot of an older one.
+        """
+        n = len(self.pieces)
+        keys = (before + 1) * n + piece
+        slots = (keys * 0x9E3779B1 >> 15) & (SLOTS - 1)
+        fits = self.slot_fits[slots]
+        new = np.flatnonzero(self.slot_keys[slots] != keys)
+        if len(new):
+            asked, back = np.unique(keys[new], return_inverse=True)
+            told = []
+            for key in asked.tolist():
+                a, b = divmod(key, n)
+                told.append(self._follows(self.pieces[a - 1] if a else "", self.pieces[b]))
+            fits[new] = np.array(told, bool)[back]
+            self.slot_keys[slots[new]] = keys[new]
+            self.slot_fits[slots[new]] = fits[new]
+        return fits
+
+    def _side_by_side(self, chunks: list[str]) -> list[bytes]:
+        """Packed ids of many short chunks at once (byte-pair models)."""
+        if self.letter is None:
+            self._trie()
+        size = np.array([len(c) for c in chunks])
+        width = int(size.max())
+        letters = self.letter[np.array(chunks, dtype=f"U{width}").view(np.uint32).reshape(len(chunks), width)]
+        inside = np.arange(width) < size[:, None]
+        odd = ((letters == 0) & inside).any(axis=1)
+        letters[~inside] = 0
+        letters = np.pad(letters, ((0, 0), (0, self.max_len)))
+        last = np.full((len(chunks), width + self.max_len + 1), -1, np.int32)
+        keys, to = self.edge_keys, self.edge_to
+        for start in range(width):
+            row = np.flatnonzero((size > start) & ~odd)
+            if start:
+                row = row[last[row, start] >= 0]
+            before, node = last[row, start], np.zeros(len(row), np.int64)
+            for n in range(1, self.max_len + 1):
+                key = node * self.width + letters[row, start + n - 1].astype(np.int64)
+                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                on = keys[at] == key
+                row, before, node = row[on], before[on], to[at[on]]
+                if not len(row):
+                    break
+                piece = self.node_piece[node]
+                ends = np.flatnonzero(piece >= 0)
+                if len(ends):
+                    ends = ends[self._fitting(before[ends].astype(np.int64), piece[ends])]
+                    last[row[ends], start + n] = piece[ends]
+        # From the ends back to the starts; each step fills one column from the right.
+        at = np.where(odd | (last[np.arange(len(chunks)), size] < 0), 0, size)
+        lost = (at == 0)
+        steps = []
+        while (row := np.flatnonzero(at > 0)).size:
+            piece = last[row, at[row]]
+            broken = row[piece < 0]
+            lost[broken], at[broken] = True, 0
+            row, piece = row[piece >= 0], piece[piece >= 0]
+            at[row] -= self.piece_len[piece]
+            step = np.full(len(chunks), -1, np.int32)
+            step[row] = piece
+            steps.append(step)
+        if not steps:
+            return [self._packed(self._ids(c)) for c in chunks]
+        table = np.stack(steps[::-1], axis=1)
+        flat = table[table >= 0].astype(self.dtype).tobytes()
+        ends = (np.cumsum((table >= 0).sum(axis=1)) * self.dtype.itemsize).tolist()
+        return [self._packed(self._ids(c)) if other else flat[a:z]
+                for c, a, z, other in zip(chunks, [0, *ends], ends, lost.tolist(), strict=False)]
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def learn(self, chunks: set[str]) -> None:
+        """Search the chunks that are not remembered and remember the short ones."""
+        if len(self.memory) >= MEMORY // 2:  # what is still in use moves over again
+            self.elder, self.memory = self.memory, {}
+        memory, elder, new = self.memory, self.elder, []
+        for c in chunks:
+            if c not in memory:
+                ids = elder.get(c)
+                if ids is not None:
+                    memory[c] = ids
+                elif len(c) <= SHORT:
+                    new.append(c)
+        if self.kind != "bpe":
+            self.memory.update((c, self._packed(self._ids(c))) for c in new)
+            return
+        new.sort(key=len)
+        for i in range(0, len(new), 20_000):
+            part = new[i:i + 20_000]
+            self.memory.update(zip(part, self._side_by_side(part), strict=True))
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text, in order; texts are taken a bounded stretch at a time."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text or "")
+            if size >= STRETCH:
+                yield from self._encode_held(held)
+                held, size = [], 0
+        yield from self._encode_held(held)
+
+    def _encode_held(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         if not self.chunked:
-            return self._ids(marked)
-        out: list[int] = []
-        memory = self.memory
-        for chunk in _CHUNK.findall(marked):
-            ids = memory.get(chunk)
-            if ids is None:
-                ids = tuple(self._ids(chunk))
-                if len(chunk) <= 48:
-                    if len(memory) >= MEMORY:
-                        memory.clear()
-                    memory[chunk] = ids
-            out += ids
-        return out
+            for t in texts:
+                yield np.array(self._ids(MARK + t.replace(" ", MARK)) if t else [], np.int32)
+            return
+        cut = [self.chunk.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        distinct = set()
+        distinct.update(*cut)
+        self.learn(distinct)
+        known = self.memory
+        for chunks in cut:
+            try:
+                raw = b"".join([known[c] for c in chunks])
+            except KeyError:  # a chunk too long to be remembered
+                raw = b"".join([known[c] if c in known else self._packed(self._ids(c)) for c in chunks])
+            yield np.frombuffer(raw, self.dtype).astype(np.int32)
+
+    def encode(self, text: str | None) -> list[int]:
+        return next(self.encode_all([text])).tolist()
 
     def decode(self, ids) -> str:
         if ids is None or len(ids) == 0:
             return ""
-        out: list[str] = []
-        raw = bytearray()
-        for i in ids:
-            b = self.byte_of.get(i)
-            if b is not None:
-                raw.append(b)
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            out.append(self.pieces[i] if 0 <= i < len(self.pieces) and i != self.unk_id else "�")
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(MARK, " ")
+        ids = np.asarray(ids, np.int64)
+        ids = np.where((ids < 0) | (ids >= len(self.pieces)), self.unk_id, ids)
+        raw = self.high[ids]
+        if raw.any():  # parts of characters: runs of them are joined before decoding
+            out = []
+            edge = np.flatnonzero(np.r_[True, raw[1:] != raw[:-1], True])
+            for a, z in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                if raw[a]:
+                    out.append(bytes(self.byte_of[i] for i in ids[a:z].tolist()).decode("utf-8", "replace"))
+                else:
+                    out.extend(self.shown[ids[a:z]])
+        else:
+            out = self.shown[ids]
+        text = "".join(out)
         return text[1:] if text.startswith(" ") else text
 
 
@@ -264,7 +412,7 @@ def encode(column: str | Column, model: str = MODEL, kind: str = "bpe") -> Colum
     def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = load_codec(model, kind)
         for batch in texts:
-            yield pd.Series([np.array(codec.encode(t), dtype=np.int32) for t in batch], dtype=object)
+            yield pd.Series(list(codec.encode_all(batch.tolist())), dtype=object)
     return ids(column)
 
 
@@ -273,7 +421,7 @@ def decode(column: str | Column, model: str = MODEL) -> Column:
     def text(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = load_codec(model)
         for batch in ids:
-            yield pd.Series([codec.decode(None if x is None else x.tolist()) for x in batch], dtype=object)
+            yield pd.Series([codec.decode(x) for x in batch], dtype=object)
     return text(column)
 
 
