@@ -98,6 +98,26 @@ def test_every_window_has_an_anchor_that_depends_on_its_content_alone():
     assert all(picked[200 + k] == picked[1000 + k] for k in range(350))
 
 
+def test_long_texts_are_cut_into_stretches(documents, monkeypatch):
+    """Same result with stretches of a few windows (workers are in-process copies, so call directly)."""
+    text = " ".join(f"w{k % 97}x{k % 31}" for k in range(4000)).encode()
+    whole = list(repeats.stretches(text, 200))
+    monkeypatch.setattr(repeats, "STRETCH", 300)
+    cut = list(repeats.stretches(text, 200))
+    assert len(whole) == 1 and sum(len(u) - 199 for _, u in cut) == len(text) - 199
+    assert all(text[s:s + len(u)] == u for s, u in cut)
+
+    def windows(parts):
+        out = {}
+        for start, units in parts:
+            hashes = repeats.gram_hashes(suffixarray.codes(units), 16)
+            for p, a, z in zip(*(x.tolist() for x in repeats.anchors(hashes, 185)), strict=True):
+                out.update({start + w: p - w for w in range(a, z + 1)})
+        return out
+    assert windows(whole) == windows(cut)
+    assert list(repeats.stretches(b"short", 200)) == []
+
+
 def test_cover_ranks_tell_equal_stretches_apart():
     rng = np.random.default_rng(4)
     grid = rng.integers(0, 2, (40, suffixarray.COLUMNS)).astype(np.uint8)

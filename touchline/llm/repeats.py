@@ -38,7 +38,7 @@ from touchline.llm.common import written
 MUL = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 #: Windows handled at once within one text.
-STRETCH = 1 << 22
+STRETCH = 1 << 20
 ROWS_PER_BLOCK = 16_384
 MAX_GROUP = 200_000
 
@@ -76,23 +76,23 @@ def gram_hashes(codes: np.ndarray, gram: int) -> np.ndarray:
 
 def anchors(hashes: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(gram position, first window, last window) of each run of windows with one pick."""
-    out = []
-    n = len(hashes) - span + 1
-    low = np.uint64(0xFFFFFF)
-    for w0 in range(0, max(0, n), STRETCH):
-        part = hashes[w0:min(n, w0 + STRETCH) + span - 1]
-        least = (part & ~low) | np.arange(len(part), dtype=np.uint64)
-        size = 1
-        while size * 2 <= span:
-            least = np.minimum(least[:-size], least[size:])
-            size *= 2
-        least = np.minimum(least[:len(part) - span + 1], least[span - size:])
-        first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-        last = np.r_[first[1:], len(least)] - 1
-        out.append(np.stack([(least[first] & low).astype(np.int64), first, last]) + w0)
-    if not out:
+    if len(hashes) < span:
         return (np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate(out, axis=1))
+    low = np.uint64(0xFFFFFF)  # places of a stretch fit in 24 bits
+    least = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
+    size = 1
+    while size * 2 <= span:
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    least = np.minimum(least[:len(hashes) - span + 1], least[span - size:])
+    first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
+    return (least[first] & low).astype(np.int64), first, np.r_[first[1:], len(least)] - 1
+
+
+def stretches(units, width: int) -> Iterator[tuple]:
+    """(first window, units of a stretch of windows); cutting a run of windows in two does no harm."""
+    for start in range(0, len(units) - width + 1, STRETCH):
+        yield start, units[start:start + STRETCH + width - 1]
 
 
 ANCHOR = "gram long, body long, did long, h long, pos long, shape int"
@@ -106,21 +106,19 @@ def anchor_rows(texts: DataFrame, scheme: Scheme) -> DataFrame:
         for frame in frames:
             parts, held = [], 0
             for did, h, text in zip(frame["did"], frame["h"], frame["text"], strict=True):
-                units = scheme.units(text)
-                if len(units) < scheme.width:
-                    continue
-                hashes = gram_hashes(scheme.codes(units), scheme.gram)
-                at, first, last = anchors(hashes, span)
-                body = [xxhash.xxh64_intdigest(scheme.cut(units, a, z + scheme.width), o)
-                        for a, z, o in zip(first.tolist(), last.tolist(), (at - first).tolist(), strict=True)]
-                parts.append(pd.DataFrame({
-                    "gram": hashes[at].view(np.int64), "body": np.array(body, np.uint64).view(np.int64),
-                    "did": did, "h": h, "pos": first,
-                    "shape": ((last - first + 1) * 256 + at - first).astype(np.int32)}))
-                held += len(at)
-                if held > 100_000:
-                    yield pd.concat(parts)
-                    parts, held = [], 0
+                for start, units in stretches(scheme.units(text), scheme.width):
+                    hashes = gram_hashes(scheme.codes(units), scheme.gram)
+                    at, first, last = anchors(hashes, span)
+                    body = [xxhash.xxh64_intdigest(scheme.cut(units, a, z + scheme.width), o)
+                            for a, z, o in zip(first.tolist(), last.tolist(), (at - first).tolist(), strict=True)]
+                    parts.append(pd.DataFrame({
+                        "gram": hashes[at].view(np.int64), "body": np.array(body, np.uint64).view(np.int64),
+                        "did": did, "h": h, "pos": first + start,
+                        "shape": ((last - first + 1) * 256 + at - first).astype(np.int32)}))
+                    held += len(at)
+                    if held > 100_000:
+                        yield pd.concat(parts)
+                        parts, held = [], 0
             if parts:
                 yield pd.concat(parts)
     return texts.mapInPandas(rows, ANCHOR)

@@ -22,7 +22,6 @@ Python runs in Arrow batches inside map tasks; there is no shuffle.
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -165,7 +164,3 @@ def digest(documents: DataFrame, max_ratio: float = MAX_RATIO, vocabulary: str =
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in KINDS],
                         F.sha2(joined(base), 256).alias("base_sha256"),
                         joined(F.col("secret_spans")).alias("spans"))
-
-
-def spans_sha256(spans: list) -> str:
-    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()

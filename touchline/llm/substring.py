@@ -25,15 +25,15 @@ an empty result. Only doc_id and text are read.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from touchline.llm import repeats
-from touchline.llm.repeats import Scheme, merged_runs, names, paired
+from touchline.llm.repeats import Scheme, merged_runs, paired
 
 WIDTH, GRAM, EDGE = 50, 8, 5
 CENTRE = WIDTH - GRAM
@@ -138,10 +138,5 @@ def remove_repeats(documents: DataFrame, max_group: int = repeats.MAX_GROUP) ->
 
 def digest(documents: DataFrame, max_group: int = repeats.MAX_GROUP) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256."""
-    from pyspark.sql import functions as F
     return remove_repeats(documents, max_group).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
-
-
-def spans_sha256(words: list[bytes]) -> str:
-    return hashlib.sha256(b" ".join(words)).hexdigest()
