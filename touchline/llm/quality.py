@@ -42,7 +42,7 @@ SYMBOLS = r"[#*$%&|<>]"
 @dataclass(frozen=True)
 class LineLimits:
     max_docs: int = 20
-    max_share: float = 0.02
+    max_share: float = 0.05
     max_lost: float = 0.7
     min_left: int = 20
 
