@@ -249,8 +249,10 @@ def groups(documents: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int
     prints = written(documents.select("doc_id", fingerprint_column("text", shingle, seed).alias("fp")), "prints")
     distinct = prints.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("node"))
     sets = components(links(distinct, max_bits, max_bucket))
-    named = distinct.join(sets, "node", "left").select(
-        F.col("fp").alias("d_fp"), F.coalesce("component", "node").alias("component_id"))
+    # Written, so that the last join reads it through an exchange of its own, whose
+    # hot fingerprints Spark may split.
+    named = written(distinct.join(sets, "node", "left").select(
+        F.col("fp").alias("d_fp"), F.coalesce("component", "node").alias("component_id")), "named")
     return (prints.join(named, prints["fp"] == F.col("d_fp"), "left")
             .select("doc_id", "fp", "component_id"))
 
