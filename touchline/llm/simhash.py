@@ -267,7 +267,8 @@ def first_of_groups(documents: DataFrame, shingle: int = 3, max_bits: int = 3, s
     first = written(found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n")).withColumnRenamed("doc_id", "first_id"), "first")
     rows = documents.select(F.col("doc_id").alias("own_id"), whole_row(documents).alias("doc"))
-    kept = rows.join(first, F.col("own_id") == F.col("first_id"))
+    # The list grows with the documents, so it is never broadcast, however small today.
+    kept = rows.join(first.hint("merge"), F.col("own_id") == F.col("first_id"))
     if not first.where(F.col("n") > 1).isEmpty():
         many = kept.where(F.col("n") > 1).dropDuplicates(["first_id"])
         kept = kept.where(F.col("n") == 1).unionAll(many)
