@@ -56,3 +56,5 @@ def test_query_round_trips(spark, documents):
     assert len(rows) == len(ODD) and all(r.round_trip for r in rows)
     assert {len(r.ids) for r in rows if r.doc_id in (1, 2)} == {0}
     assert C.round_trip(odd.limit(0)).count() == 0
+    apart = C.decode_documents(C.encode_documents(odd.select("doc_id", "text"))).collect()
+    assert all(r.decoded == (r.text or "") for r in apart)

@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Entries of a worker's memory of short chunks, and of its memory of piece pairs.
-MEMORY = 400_000
+MEMORY = 240_000
 PAIRS = 100_000
 #: Slots of the table of piece pairs (a power of two).
 SLOTS = 1 << 20
@@ -425,6 +425,17 @@ def decode(column: str | Column, model: str = MODEL) -> Column:
     return text(column)
 
 
+def encode_and_decode(column: str | Column, model: str = MODEL, kind: str = "bpe") -> Column:
+    """Struct of the ids of a text and of what they decode to, by one worker per task."""
+    @F.pandas_udf("ids array<int>, decoded string")
+    def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codec = load_codec(model, kind)
+        for batch in texts:
+            ids = pd.Series(list(codec.encode_all(batch.tolist())), dtype=object)
+            yield pd.DataFrame({"ids": ids, "decoded": pd.Series([codec.decode(x) for x in ids], dtype=object)})
+    return both(column)
+
+
 def encode_documents(documents: DataFrame, model: str = MODEL, kind: str = "bpe") -> DataFrame:
     """The input with ``ids`` added."""
     return documents.withColumn("ids", encode("text", model, kind))
@@ -438,8 +449,8 @@ def decode_documents(encoded: DataFrame, model: str = MODEL) -> DataFrame:
 def round_trip(documents: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, ids, n_ids, n_chars, decoded_sha256, round_trip."""
     text = F.coalesce("text", F.lit(""))
-    both = decode_documents(encode_documents(documents.select("doc_id", "text"), model), model)
-    return both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
+    both = documents.select("doc_id", "text", encode_and_decode("text", model).alias("b"))
+    return both.select("doc_id", "b.ids", F.size("b.ids").cast("long").alias("n_ids"),
                        F.length(text).cast("long").alias("n_chars"),
-                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
-                       (F.col("decoded") == text).alias("round_trip"))
+                       F.sha2(F.encode("b.decoded", "UTF-8"), 256).alias("decoded_sha256"),
+                       (F.col("b.decoded") == text).alias("round_trip"))
