@@ -51,12 +51,11 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     share_package(spark)
-    encoded = docs.select(whole_row(docs).alias("doc"), sentencepiece_codec.encode("text").alias("ids"))
-    decoded = encoded.withColumn("decoded", sentencepiece_codec.decode("ids"))
-    added = [F.col("ids").alias("ids"), F.size("ids").cast("long").alias("n_ids"),
-             (F.col("decoded") == F.coalesce("doc.text", F.lit(""))).alias("round_trip")]
+    both = docs.select(whole_row(docs).alias("doc"), sentencepiece_codec.encode_and_decode("text").alias("both"))
+    added = [F.col("both.ids").alias("ids"), F.size("both.ids").cast("long").alias("n_ids"),
+             (F.col("both.decoded") == F.coalesce("doc.text", F.lit(""))).alias("round_trip")]
     own = [F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c not in ("ids", "n_ids", "round_trip")]
-    return decoded.select(*own, *added)
+    return both.select(*own, *added)
 
 
 STAGES: list[tuple[str, Stage]] = [
