@@ -39,6 +39,22 @@ def test_random_strings_are_found_and_identifiers_are_not():
         assert not [x for x in S.find_spans(f"a {fine} b") if x[0] == "random"], fine
 
 
+def test_letters_alone_are_measured_and_names_are_not():
+    rng = random.Random(4)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    found = lambda run: [x for x in S.find_spans(f"see {run} ok") if x[0] == "random"]
+    for alphabet, n, least in ((upper + lower, 20, 195), (upper + lower, 40, 199), (upper, 24, 195), (lower, 32, 185),
+                               (upper + lower + "0123456789", 20, 198)):
+        runs = ["".join(rng.choices(alphabet, k=n)) for _ in range(200)]
+        assert sum(found(x) == [("random", 4, 4 + n)] for x in runs) >= least, (alphabet, n)
+    for fine in ("Rindfleischetikettierungsueberwachungsaufgaben", "pneumonoultramicroscopicsilicovolcanoconiosis",
+                 "lentokonesuihkuturbiinimoottoriapumekaanikko", "INTERNATIONALIZATION", "GESCHWINDIGKEITSBEGRENZUNG",
+                 "IncomprehensibilitiesOfNature", "COPY_DICT_WITHOUT_KEYS", "bernoulli_logit_glm_lupmf",
+                 "org/apache/spark/rdd/JdbcRDD", "oboe-lh-low-b-key-stencil"):
+        assert not found(fine), fine
+    assert found("qXvTzKpWmRjLbNcH/GdYsFqZk") and found("-".join(["key", "xqzvkjwpbtmrnhgcdlsf" * 2]))
+
+
 def test_query_on_real_rows(spark):
     df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     text = {r.doc_id: r.text for r in df.collect()}

@@ -7,8 +7,10 @@ URL-safe alphabets whose characters per token, under a public byte-pair
 vocabulary, are fewer than ``max_ratio``. Words of a language are cheap to
 spell for the vocabulary (three or more characters a token); random strings
 are not. Known digests (hexadecimal of the usual lengths), UUIDs, plain
-numbers and runs without both a letter and a digit are identifiers rather
-than secrets and are excluded first; so are runs that touch a base span.
+numbers and names (words of letters, each of one case or in camel case and
+under 20 letters, joined by separators) are identifiers rather than secrets
+and are excluded first; so are runs that touch a base span. A run of letters
+alone is measured like any other.
 
 Offsets are code points, ends exclusive. Runs of any length are measured
 whole, in pieces that the tokenizer handles in linear time.
@@ -52,6 +54,9 @@ _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 _UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 _HEX_ONLY = re.compile(r"(?:0x)?[0-9a-fA-F]+")
 _NUMBER = re.compile(r"[0-9+/_=-]+")
+_SEPARATORS = re.compile(r"[+/_=-]+")
+#: A word of a name: of one case or in camel case.
+_WORD = re.compile(r"[a-z]|[A-Z]*(?:[a-z]{2,}[A-Z]+)*(?:[a-z]{2,})?")
 DIGEST_LENGTHS = frozenset((32, 40, 48, 56, 64, 96, 128))
 PIECE = 256
 MAX_RATIO = 2.0
@@ -77,7 +82,9 @@ def is_identifier(run: str) -> bool:
         return True
     if _HEX_ONLY.fullmatch(run):
         return len(run.removeprefix("0x")) in DIGEST_LENGTHS
-    return not (re.search("[A-Za-z]", run) and re.search("[0-9]", run))
+    # The vocabulary spends a token on each separator, so the ratio says little of joined words.
+    words = _SEPARATORS.split(run)
+    return len(words) > 1 and all(len(w) < 20 and _WORD.fullmatch(w) for w in words)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
