@@ -47,6 +47,24 @@ def test_planted_items_are_found_and_others_are_not(spark):
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in df.collect()} - {d for d, _ in got}
 
 
+def test_scores_do_not_depend_on_shards_or_copies(spark):
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(80)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(6, 30)))) for i in range(30)]
+    docs = [(i, " ".join([*rng.choices(vocabulary, k=9), t, *rng.choices(vocabulary, k=40)])) for i, t in items]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    loose = {"threshold": 0.3, "overlap": 0.0}
+    rows = lambda b, **kw: sorted(map(tuple, D.contaminated(df, b, D.Settings(**loose, **kw)).collect()))
+    want = rows(bench)
+    assert {(i, i) for i, _ in items} < {x[:2] for x in want} and len({x[2] for x in want}) > 30
+    assert rows(bench, shard_items=7) == want and rows(bench, shard_chars=500) == want
+    copies = bench.unionAll(spark.createDataFrame(items[:1] * 25, bench.schema))
+    assert rows(copies) == want and rows(copies, shard_items=7) == want
+    sizes = [len(x.ids) for x in D._indexes(copies, D.Settings(shard_items=7))]
+    assert sum(sizes) == 30 and max(sizes) < 20
+
+
 def test_both_question_and_answer_are_needed(spark, documents):
     bench = spark.createDataFrame([(1, "What is the tallest of all the mountains here? It is the great grey one over there."),
                                    (2, None), (None, "x y z"), (3, "  ")], "item_id long, text string")

@@ -21,13 +21,17 @@ answer column, the answer is the last sentence of the item's text, the
 question the rest (the whole text if it has one sentence).
 
 The index is broadcast in shards of about ``shard_items`` items and
-``shard_chars`` characters at most, dealt by a hash, each a pass over the
-corpus, so its size is bounded whatever the benchmark's.
+``shard_chars`` characters (or one item, if that is longer), dealt by a hash,
+each a pass over the corpus, so its size is bounded whatever the benchmark's.
+Number of items, document frequencies, mean and greatest length are those of
+the whole benchmark in every shard, so scores do not depend on the shards;
+a shard's driver work reads the frequencies of its own words only.
 
 Defined results: NULL and empty texts match nothing, and items without a word
-are never matched. Repeated rows give one row per (doc_id, item_id); repeated
-items each match on their own id. Empty tables give an empty result. Only
-doc_id, item_id and text are read.
+are never matched. Repeated rows of documents give one row per (doc_id,
+item_id), repeated rows of the benchmark count as one; the same text under
+several ids matches on each. Empty tables give an empty result. Only doc_id,
+item_id and text are read.
 """
 
 from __future__ import annotations
@@ -43,6 +47,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm.common import written
+
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
@@ -59,6 +65,15 @@ class Settings:
     shard_chars: int = 20_000_000
 
 
+@dataclass(frozen=True)
+class Totals:
+    """What the weights need of the whole benchmark, whatever part of it is indexed."""
+    n: int                # items with a word
+    mean: float           # words in an item
+    longest: int
+    held: dict[str, int]  # word -> items that hold it
+
+
 def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
@@ -77,7 +92,7 @@ def question_and_answer(text: str) -> tuple[str, str]:
 class Index:
     """Inverted index of items with block maxima."""
 
-    def __init__(self, items: list[tuple[int, str]], settings: Settings):
+    def __init__(self, items: list[tuple[int, str]], settings: Settings, totals: Totals | None = None):
         self.settings = s = settings
         tokens = [words(t) for _, t in items]
         keep = [k for k, t in enumerate(tokens) if t]
@@ -87,10 +102,11 @@ class Index:
                          (question_and_answer(items[k][1]) for k in keep)]
         self.answer = [shingles(words(a), s.shingle) for _, a in
                        (question_and_answer(items[k][1]) for k in keep)]
-        self.length = max(map(len, tokens), default=1)
-        n, mean = len(tokens), sum(map(len, tokens)) / max(1, len(tokens))
-        held = Counter(w for t in tokens for w in set(t))
-        idf = {w: math.log(1 + (n - c + 0.5) / (c + 0.5)) for w, c in held.items()}
+        if totals is None:
+            totals = Totals(len(tokens), sum(map(len, tokens)) / max(1, len(tokens)), max(map(len, tokens), default=1),
+                            Counter(w for t in tokens for w in set(t)))
+        n, mean, held, self.length = len(tokens), totals.mean, totals.held, totals.longest
+        idf = {w: math.log(1 + (totals.n - c + 0.5) / (c + 0.5)) for w, c in held.items()}
         self.terms = {w: i for i, w in enumerate(sorted(held))}
         postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
         for k, t in enumerate(tokens):
@@ -203,14 +219,36 @@ class Index:
         return [(self.ids[k], *x) for k, x in sorted(found.items())]
 
 
-def _shards(benchmark: DataFrame, settings: Settings) -> Iterator[list[tuple[int, str]]]:
-    """The items in bounded lists, in order of a hash."""
-    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
+def _word_sets(items: DataFrame) -> DataFrame:
+    """length, ws (distinct words): one row per item with a word."""
+    @F.pandas_udf("length long, ws array<string>")
+    def tokens(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in texts:
+            lists = [words(t) for t in batch]
+            yield pd.DataFrame({"length": [len(t) for t in lists], "ws": [sorted(set(t)) for t in lists]})
+    return items.select(tokens("text").alias("t")).select("t.*").where(F.col("length") > 0)
+
+
+def _indexes(benchmark: DataFrame, settings: Settings) -> Iterator[Index]:
+    """Indexes of the distinct items in bounded shards, dealt by a hash."""
+    items = benchmark.select(F.col("item_id").cast("long"), "text").where(
+        F.col("text").isNotNull() & F.col("item_id").isNotNull()).distinct()
     size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
     n = max(-(-size["n"] // settings.shard_items), -(-size["chars"] // settings.shard_chars)) if size["n"] else 0
+    if n == 1:
+        yield Index(sorted((r[0], r[1]) for r in items.collect()), settings)
+    if n < 2:
+        return
+    items = written(items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))), "items")
+    sets = _word_sets(items)
+    size = sets.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), F.max("length").alias("longest")).first()
+    held = written(sets.select(F.explode("ws").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c")), "held")
     for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items
-        yield sorted((r[0], r[1]) for r in part.collect())
+        part = items.where(F.col("shard") == k)
+        own = _word_sets(part).select(F.explode("ws").alias("w")).distinct()
+        yield Index(sorted((r[0], r[1]) for r in part.select("item_id", "text").collect()), settings,
+                    Totals(size["n"], size["mean"], size["longest"],
+                           {r[0]: r[1] for r in held.join(own, "w").select("w", "c").collect()}))
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -218,8 +256,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, settings: Settings
     spark = documents.sparkSession
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     out = None
-    for items in _shards(benchmark, settings):
-        index = spark.sparkContext.broadcast(Index(items, settings))
+    for part in _indexes(benchmark, settings):
+        index = spark.sparkContext.broadcast(part)
 
         def search(frames: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             for frame in frames:
@@ -248,6 +286,6 @@ def _clean(index) -> Column:
 def clean_documents(documents: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Documents without a verified item; the input's columns."""
     out = documents
-    for items in _shards(benchmark, settings):
-        out = out.where(_clean(documents.sparkSession.sparkContext.broadcast(Index(items, settings))))
+    for part in _indexes(benchmark, settings):
+        out = out.where(_clean(documents.sparkSession.sparkContext.broadcast(part)))
     return out
