@@ -65,6 +65,18 @@ def test_scores_do_not_depend_on_shards_or_copies(spark):
     assert sum(sizes) == 30 and max(sizes) < 20
 
 
+def test_items_without_an_id_count(spark, documents):
+    q = "who was the first to cross the wide northern sea alone? it was a baker from the old town"
+    bench = spark.createDataFrame([(None, q), (2**60 + 1, q), (None, "a quite other item of eight words here")],
+                                  "item_id long, text string")
+    df = documents([*ODD, (60, f"so {q} yes"), (61, "and a quite other item of eight words here then"), (62, "clean one")])
+    for settings in (D.Settings(), D.Settings(shard_items=1)):
+        got = {(r.doc_id, r.item_id) for r in D.contaminated(df, bench, settings).collect()}
+        assert got == {(60, None), (60, 2**60 + 1), (61, None)}
+        left = [r.doc_id for r in D.clean_documents(df, bench, settings).collect()]
+        assert len(left) == df.count() - 2 and 62 in left and not {60, 61} & set(left)
+
+
 def test_both_question_and_answer_are_needed(spark, documents):
     bench = spark.createDataFrame([(1, "What is the tallest of all the mountains here? It is the great grey one over there."),
                                    (2, None), (None, "x y z"), (3, "  ")], "item_id long, text string")

@@ -30,8 +30,9 @@ a shard's driver work reads the frequencies of its own words only.
 Defined results: NULL and empty texts match nothing, and items without a word
 are never matched. Repeated rows of documents give one row per (doc_id,
 item_id), repeated rows of the benchmark count as one; the same text under
-several ids matches on each. Empty tables give an empty result. Only doc_id,
-item_id and text are read.
+several ids matches on each. An item with a NULL item_id is an item like any
+other: its documents are contaminated, with a NULL item_id. Empty tables give
+an empty result. Only doc_id, item_id and text are read.
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ def question_and_answer(text: str) -> tuple[str, str]:
 class Index:
     """Inverted index of items with block maxima."""
 
-    def __init__(self, items: list[tuple[int, str]], settings: Settings, totals: Totals | None = None):
+    def __init__(self, items: list[tuple[int | None, str]], settings: Settings, totals: Totals | None = None):
         self.settings = s = settings
         tokens = [words(t) for _, t in items]
         keep = [k for k, t in enumerate(tokens) if t]
@@ -180,7 +181,7 @@ class Index:
             lists = [x for x in lists if x[0] < len(x[1])]
         return out
 
-    def hits(self, text: str | None) -> list[tuple[int, float, float, float]]:
+    def hits(self, text: str | None) -> list[tuple[int | None, float, float, float]]:
         """(item_id, score, question overlap, answer overlap) of verified items, one row each."""
         s, tokens = self.settings, words(text)
         if not tokens or not self.ids:
@@ -231,12 +232,12 @@ def _word_sets(items: DataFrame) -> DataFrame:
 
 def _indexes(benchmark: DataFrame, settings: Settings) -> Iterator[Index]:
     """Indexes of the distinct items in bounded shards, dealt by a hash."""
-    items = benchmark.select(F.col("item_id").cast("long"), "text").where(
-        F.col("text").isNotNull() & F.col("item_id").isNotNull()).distinct()
+    items = benchmark.select(F.col("item_id").cast("long"), "text").where(F.col("text").isNotNull()).distinct()
     size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
     n = max(-(-size["n"] // settings.shard_items), -(-size["chars"] // settings.shard_chars)) if size["n"] else 0
+    by_id = lambda rows: sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     if n == 1:
-        yield Index(sorted((r[0], r[1]) for r in items.collect()), settings)
+        yield Index(by_id((r[0], r[1]) for r in items.collect()), settings)
     if n < 2:
         return
     items = written(items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))), "items")
@@ -246,7 +247,7 @@ def _indexes(benchmark: DataFrame, settings: Settings) -> Iterator[Index]:
     for k in range(n):
         part = items.where(F.col("shard") == k)
         own = _word_sets(part).select(F.explode("ws").alias("w")).distinct()
-        yield Index(sorted((r[0], r[1]) for r in part.select("item_id", "text").collect()), settings,
+        yield Index(by_id((r[0], r[1]) for r in part.select("item_id", "text").collect()), settings,
                     Totals(size["n"], size["mean"], size["longest"],
                            {r[0]: r[1] for r in held.join(own, "w").select("w", "c").collect()}))
 
@@ -263,8 +264,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, settings: Settings
             for frame in frames:
                 rows = [(d, *h) for d, t in zip(frame["doc_id"], frame["text"], strict=True)
                         for h in index.value.hits(t)]
-                got = pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
-                yield got.astype({"doc_id": "Int64", "item_id": "Int64"})
+                got = pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
+                                   dtype=object)  # so that a NULL beside it does not round an id
+                yield got.astype({"doc_id": "Int64", "item_id": "Int64", "score": float, "question_overlap": float,
+                                  "answer_overlap": float})
         part = documents.select(F.col("doc_id").cast("long"), "text").mapInPandas(search, schema)
         out = part if out is None else out.unionAll(part)
     if out is None:
