@@ -102,3 +102,11 @@ def test_query_and_stage(spark, documents):
     ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
     assert ids == sorted({sets[i] for i in sets if i is not None})
     assert S.digest(df.limit(0)).count() == 0 and S.first_of_groups(df.limit(0)).count() == 0
+
+
+def test_repeated_ids_with_unrelated_texts(documents):
+    rng = random.Random(21)
+    a, b, c, d = (" ".join(f"w{rng.randint(0, 10**6)}" for _ in range(80)) for _ in range(4))
+    df = documents([(5, a), (5, b), (5, b), (7, a), (8, b), (3, c), (9, c), (9, d), (4, d), (5, c)], CLASHING)
+    kept = sorted((r.doc_id, r.text) for r in S.first_of_groups(df).collect())
+    assert kept == sorted([(5, a), (5, b), (3, c), (4, d)])

@@ -243,18 +243,28 @@ def links(prints: DataFrame, max_bits: int = 3, max_bucket: int = 4096) -> DataF
             .mapInPandas(search, "a long, b long").distinct())
 
 
-def groups(documents: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42,
-           max_bucket: int = 4096) -> DataFrame:
-    """doc_id, fp (signed long), component_id; one row per input row."""
+def _grouped(documents: DataFrame, shingle: int, max_bits: int, seed: int, max_bucket: int) -> DataFrame:
+    """doc_id, fp, label (a fingerprint of the group), component_id; one row per input row.
+
+    Fingerprints are the nodes: an id may have several, of unrelated texts.
+    """
     prints = written(documents.select("doc_id", fingerprint_column("text", shingle, seed).alias("fp")), "prints")
-    distinct = prints.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("node"))
-    sets = components(links(distinct, max_bits, max_bucket))
+    distinct = prints.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("least"))
+    sets = components(links(distinct.select("fp", F.col("fp").alias("node")), max_bits, max_bucket))
+    labelled = written(distinct.join(sets, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("label")), "labelled")
+    ids = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     # Written, so that the last join reads it through an exchange of its own, whose
     # hot fingerprints Spark may split.
-    named = written(distinct.join(sets, "node", "left").select(
-        F.col("fp").alias("d_fp"), F.coalesce("component", "node").alias("component_id")), "named")
+    named = written(labelled.join(ids, "label").select(F.col("fp").alias("d_fp"), "label", "component_id"), "named")
     return (prints.join(named, prints["fp"] == F.col("d_fp"), "left")
-            .select("doc_id", "fp", "component_id"))
+            .select("doc_id", "fp", "label", "component_id"))
+
+
+def groups(documents: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42,
+           max_bucket: int = 4096) -> DataFrame:
+    """doc_id, fp (signed long), component_id; one row per input row."""
+    return _grouped(documents, shingle, max_bits, seed, max_bucket).select("doc_id", "fp", "component_id")
 
 
 def first_of_groups(documents: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42) -> DataFrame:
@@ -263,15 +273,22 @@ def first_of_groups(documents: DataFrame, shingle: int = 3, max_bits: int = 3, s
     Documents without an id stay. Of rows that repeat the id of a group's
     first document within that group, one stays.
     """
-    found = groups(documents, shingle, max_bits, seed)
-    first = written(found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n")).withColumnRenamed("doc_id", "first_id"), "first")
+    found = _grouped(documents, shingle, max_bits, seed, 4096)
+    is_first = F.col("doc_id") == F.col("component_id")
+    first = written(found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max(is_first).alias("is_first"))
+        .where("is_first").select(F.col("doc_id").alias("first_id"), "n"), "first")
     rows = documents.select(F.col("doc_id").alias("own_id"), whole_row(documents).alias("doc"))
     # The list grows with the documents, so it is never broadcast, however small today.
     kept = rows.join(first.hint("merge"), F.col("own_id") == F.col("first_id"))
     if not first.where(F.col("n") > 1).isEmpty():
-        many = kept.where(F.col("n") > 1).dropDuplicates(["first_id"])
-        kept = kept.where(F.col("n") == 1).unionAll(many)
+        # Rows of a repeated id are told apart by their fingerprints: one per group that it is the first of.
+        chosen = (found.where(is_first).join(first.where(F.col("n") > 1), F.col("doc_id") == F.col("first_id"))
+                  .groupBy("doc_id", "label").agg(F.min("fp").alias("c_fp")).withColumnRenamed("doc_id", "c_id"))
+        many = (kept.where(F.col("n") > 1).withColumn("fp", fingerprint_column(F.col("doc.text"), shingle, seed))
+                .join(chosen, (F.col("own_id") == F.col("c_id")) & (F.col("fp") == F.col("c_fp")))
+                .dropDuplicates(["own_id", "fp"]))
+        kept = kept.where(F.col("n") == 1).select("doc").unionAll(many.select("doc"))
     return kept.select("doc").unionAll(rows.where(F.col("own_id").isNull()).select("doc")).select("doc.*")
 
 
