@@ -139,4 +139,104 @@ SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGIN
 FROM d LEFT JOIN r USING (rid)
 """
 
-ORACLES = {"op9_suffix_array_dedup": OP9, "op8_substring_dedup": OP8, "op7_warc": OP7, "op1_url_filters": OP1, "op10_quality_rules": OP10}
+#: Unsigned CRC-32 of an ASCII string {s}, bit by bit: a byte, then eight steps marked by -1.
+CRC32 = r"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({s}, ''),
+    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"""
+
+OP11 = r"""
+WITH t AS (
+  SELECT conv_id, k, chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(k)) AS p
+  FROM (SELECT conv_id, turn, strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS k,
+               length(coalesce(text, '')) AS chars
+        FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, """ + CRC32.format(s="conv_id::VARCHAR") + r""" % 6 AS h
+      FROM t GROUP BY conv_id),
+own AS (
+  SELECT c.conv_id, 0 AS part, p, k, chars FROM c JOIN t ON t.conv_id = c.base AND p <= h
+  UNION ALL SELECT c.conv_id, 1, p, k, chars FROM c JOIN t ON t.conv_id = c.conv_id AND p > h),
+path AS (
+  SELECT conv_id, chars, list(k) OVER w AS pre, count(*) OVER w AS j
+  FROM own WINDOW w AS (PARTITION BY conv_id ORDER BY part, p)
+  UNION ALL SELECT conv_id, 0, [], 0 FROM c),
+node AS (
+  SELECT pre, j, max(chars) AS chars, min(conv_id) AS low, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (j = n), '')) AS ends_sha256
+  FROM path JOIN (SELECT conv_id, max(j) AS n FROM path GROUP BY conv_id) USING (conv_id) GROUP BY pre, j),
+kids AS (SELECT pre[1:j - 1] AS up, count(*) AS n_children FROM node WHERE j > 0 GROUP BY up),
+sub AS (
+  SELECT pre[1:d] AS up, sum((n_children IS NULL)::INT) AS n_leaves, sum((n_convs - 1) * chars) AS saved
+  FROM (SELECT node.*, n_children, unnest(range(0, j + 1)) AS d FROM node LEFT JOIN kids ON kids.up = pre) GROUP BY ALL)
+SELECT node.low AS conv_id, node.j::BIGINT AS depth, parent.low AS parent_conv_id, node.n_convs::BIGINT AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+       node.ends_sha256
+FROM node JOIN sub ON sub.up = node.pre LEFT JOIN kids ON kids.up = node.pre
+LEFT JOIN node AS parent ON node.j > 0 AND parent.pre = node.pre[1:node.j - 1]
+"""
+
+
+def _tree(name: str, levels: int) -> str:
+    """CTEs <name>1.. (nodes) and <name>s0.. (siblings) above <name>0 (g, pos, n, d), for 16 ** levels leaves."""
+    out = []
+    for k in range(levels):
+        out.append(f"""
+{name}s{k} AS (
+  SELECT g, pos, n, coalesce(string_agg(d, '') OVER (PARTITION BY g, pos // 16 ORDER BY pos
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(d, '') OVER (PARTITION BY g, pos // 16 ORDER BY pos
+                       ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{k}),
+{name}{k + 1} AS (
+  SELECT g, pos // 16 AS pos, (n + 15) // 16 AS n,
+         CASE WHEN n = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY pos)) END AS d
+  FROM {name}{k} GROUP BY ALL),""")
+    return "".join(out).replace("GROUP BY ALL", "GROUP BY g, pos // 16, n")
+
+
+def _walk(name: str, levels: int, digest: str, place: str, group: str) -> tuple[str, str, str]:
+    """(joins, proof, folded digest) of a leaf up the tree."""
+    joins, proof = "", []
+    for k in range(levels):
+        x = f"{name}s{k}"
+        joins += f"\n  JOIN {x} ON {x}.g = {group} AND {x}.pos = {place} // {16 ** k}"
+        proof += [f"{x}.l", f"{x}.r"]
+        digest = f"CASE WHEN {x}.n = 1 THEN {digest} ELSE sha256({x}.l || {digest} || {x}.r) END"
+    return joins, " || ".join(proof), digest
+
+
+def _op12(in_source: int = 3, over_sources: int = 2) -> str:
+    """Up to 16 ** in_source documents in a source and 16 ** over_sources sources."""
+    enc = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    fields = [enc(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    leaf = f"sha256({' || '.join([*fields, enc('text')])})"
+    other = f"sha256({' || '.join([*fields, enc(low)])})"
+    crc = CRC32.format(s="coalesce(doc_id, 0)::VARCHAR")
+    joins, proof, end = _walk("a", in_source, "f0", "x.pos", "x.g")
+    top_joins, top_proof, top_end = _walk("b", over_sources, "y.end_", "y.rank", "0")
+    return f"""
+WITH x0 AS (
+  SELECT doc_id, coalesce('=' || source, '') AS g, {leaf} AS d,
+         CASE WHEN doc_id IS NOT NULL AND {crc} % 5 = 0 THEN {other} END AS other
+  FROM documents),
+x AS (
+  SELECT doc_id, g, d, coalesce(other, d) AS f0, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS pos,
+         count(*) OVER (PARTITION BY g) AS n
+  FROM x0),
+a0 AS (SELECT g, pos, n, d FROM x),{_tree("a", in_source)}
+src AS (SELECT g AS name, d, row_number() OVER (ORDER BY g) - 1 AS rank, count(*) OVER () AS n FROM a{in_source}),
+b0 AS (SELECT 0 AS g, rank AS pos, n, d FROM src),{_tree("b", over_sources)}
+y AS (
+  SELECT x.doc_id, x.d AS leaf, src.d AS subroot, src.rank, {proof} AS proof, {end} AS end_
+  FROM x JOIN src ON src.name = x.g{joins}),
+z AS (
+  SELECT y.doc_id, y.leaf, y.subroot, y.proof || {top_proof} AS proof, {top_end} AS folded_root FROM y{top_joins})
+SELECT doc_id, leaf, subroot, root.d AS root, sha256(proof) AS proof_sha256, folded_root, folded_root = root.d AS verified
+FROM z, b{over_sources} AS root
+"""
+
+
+OP12 = _op12()
+
+ORACLES = {"op9_suffix_array_dedup": OP9, "op8_substring_dedup": OP8, "op7_warc": OP7, "op1_url_filters": OP1,
+           "op10_quality_rules": OP10, "op11_prefix_trie": OP11, "op12_merkle_manifest": OP12}

@@ -11,7 +11,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.llm import (
-    decontam, pii, quality, secret_scan, sentencepiece_codec, simhash, substring, suffixarray, urlfilter, warc,
+    decontam, merkle, mixing, pii, prefix_trie, quality, secret_scan, sentencepiece_codec, simhash, substring, suffixarray,
+    urlfilter, warc,
 )
 from touchline.llm.common import read_table, share_package
 from touchline.llm.oracles import ORACLES
@@ -61,6 +62,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(read_table(spark, sf_dir, "documents"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(read_table(spark, sf_dir, "documents"))
+
+
 def _shared(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +84,8 @@ def _shared(query: Query) -> Query:
 
 def llm_queries() -> dict[str, Query]:
     found = (op1_url_filters, op2_secret_scans, op3_sentencepiece, op4_pii, op5_benchmark_decontamination,
-             op6_simhash_near_dedup, op7_warc, op8_substring_dedup, op9_suffix_array_dedup, op10_quality_rules)
+             op6_simhash_near_dedup, op7_warc, op8_substring_dedup, op9_suffix_array_dedup, op10_quality_rules,
+             op11_prefix_trie, op12_merkle_manifest, op13_source_mix)
     return {q.__name__: _shared(q) for q in found}
 
 
