@@ -1,12 +1,12 @@
 """Key and reference checks.
 
 The warehouse declares primary and foreign keys without enforcing them.
-These checks are distributed aggregates and anti-joins: duplicates are
-found with a partially aggregated ``groupBy(key).count()``; references are reduced
-to one row per value the same way before the ``left_anti`` join, so a hot
-reference never crosses the network row by row (NULL references are not
-orphans). A check whose table lacks a column raises an error; it is never
-left out.
+These checks are distributed aggregates: duplicates are found with a
+partially aggregated ``groupBy(key).count()``; all references are checked in
+one pass that reads every table once (``fk_report``), reduced to one row per
+value map-side, so a hot reference never crosses the network row by row (NULL
+references are not orphans). A check whose table lacks a column raises an
+error; it is never left out.
 """
 
 from __future__ import annotations
@@ -39,18 +39,37 @@ def _require(table: str, df: DataFrame, columns: Sequence[str]) -> None:
 
 
 def fk_report(star, foreign_keys=FOREIGN_KEYS) -> DataFrame:
-    """One row per declared foreign key with its orphan count."""
+    """One row per declared foreign key with its orphan count.
+
+    Every table is read once and gives a row for each of its references and
+    each of its referenced keys: (key, value, reference or none). One aggregate
+    per (key, value), map-side combined, says whether the key has the value
+    and how many rows of each reference name it; a second one adds up what is
+    not there. No join, and two exchanges whatever the number of references.
+    """
+    keys = sorted({(parent, pcol) for _, _, parent, pcol in foreign_keys})
+    columns = {(child, col) for child, col, _, _ in foreign_keys} | set(keys)
+    for table, column in sorted(columns):
+        _require(table, getattr(star, table), [column])
+    whole = all(getattr(star, t).schema[c].dataType.simpleString() in ("int", "bigint") for t, c in columns)
     parts = []
-    for child, col, parent, pcol in foreign_keys:
-        c, p = getattr(star, child), getattr(star, parent)
-        _require(child, c, [col])
-        _require(parent, p, [pcol])
-        values = c.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
-        n = fk_orphan_rows(values, col, p.select(pcol), pcol).agg(
-            F.coalesce(F.sum("_rows"), F.lit(0)).alias("Orphan_Rows"))
-        parts.append(n.select(F.lit(child).alias("Child_Table"), F.lit(col).alias("Child_Column"),
-                              F.lit(parent).alias("Parent_Table"), "Orphan_Rows"))
-    return reduce(DataFrame.unionByName, parts)
+    for table in sorted({t for child, _, parent, _ in foreign_keys for t in (child, parent)}):
+        df, roles = getattr(star, table), []
+        own = [(pcol, keys.index((parent, pcol)), -1) for parent, pcol in keys if parent == table]
+        own += [(col, keys.index((parent, pcol)), n) for n, (child, col, parent, pcol) in enumerate(foreign_keys)
+                if child == table]
+        for column, key, n in own:
+            roles.append(F.struct(F.lit(key).alias("key"), F.col(column).cast("long" if whole else "string").alias("value"), F.lit(n).alias("n")))
+        parts.append(df.select(F.inline(F.array(*roles))))
+    rows = reduce(DataFrame.unionAll, parts).where(F.col("value").isNotNull())
+    per_value = rows.groupBy("key", "value").agg(
+        F.count_if(F.col("n") < 0).alias("held"),
+        *[F.count_if(F.col("n") == n).alias(f"r{n}") for n in range(len(foreign_keys))])
+    orphans = per_value.agg(*[F.coalesce(F.sum(F.when(F.col("held") == 0, F.col(f"r{n}"))), F.lit(0)).alias(f"r{n}")
+                              for n in range(len(foreign_keys))])
+    return orphans.select(F.inline(F.array(*[
+        F.struct(F.lit(child).alias("Child_Table"), F.lit(col).alias("Child_Column"), F.lit(parent).alias("Parent_Table"),
+                 F.col(f"r{n}").alias("Orphan_Rows")) for n, (child, col, parent, _) in enumerate(foreign_keys)])))
 
 
 def pk_report(star, primary_keys=PRIMARY_KEYS) -> DataFrame:

@@ -46,6 +46,12 @@ def _ranged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _copied(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "ranked")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _offsets(ranged: DataFrame, weight: Column) -> DataFrame:
     """Total weight of all earlier ranges, one row per range."""
     totals = ranged.groupBy("_range").agg(F.sum(weight).alias("_tot"))
@@ -75,10 +81,9 @@ def rank_by(df: DataFrame, order: Sequence[tuple[str, bool]], partition_by: Sequ
     ``order`` is a list of (column, descending). NULLs sort last both ways.
     """
     keys = list(partition_by) + [c for c, _ in order]
-    # count(struct(all columns)) equals count(*) (a struct is never NULL), but
-    # keeps every column of ``df`` needed, so both uses of ``df`` stay the same
-    # and Spark may compute it once. The result does not depend on that.
-    tuples = df.groupBy(*keys).agg(F.count(F.struct(*df.columns)).alias("_rank_n"))
+    # Both uses read one written copy, so the input is computed once.
+    df = _copied(df)
+    tuples = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rank_n"))
     sort = [_sort_col(c, d) for c, d in order]
     if partition_by:
         before = Window.partitionBy(*partition_by).orderBy(*sort) \

@@ -21,7 +21,7 @@ semantics (a draw is a "loss", every match counts as a home match, ...);
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.numeric import round_avg, round_ratio
@@ -93,7 +93,11 @@ def standings(star, per_league: bool = True, corrected: bool = False, fanout: bo
     seasons and leagues; ``per_league=True`` ranks within each season and
     league. Both use the distributed ``rank_by``.
     """
-    mr = match_results(star, corrected)
+    return standings_of(match_results(star, corrected), star, per_league, fanout)
+
+
+def standings_of(mr: DataFrame, star, per_league: bool = True, fanout: bool = False) -> DataFrame:
+    """R1 from the sums of ``match_results``, however they were kept."""
     teams = _teams(star, fanout).withColumnRenamed("Team_Name", "Team")
     seasons = star.dim_seasons.select("Season_ID", "Season_Year")
     leagues = star.dim_leagues.select("League_ID", "League_Name")
@@ -122,6 +126,22 @@ def top_scorers(star, k: int = 10, season_id: int | None = None) -> DataFrame:
             .limit(k).select("Player_ID", "Player_Name", "total_goals"))
 
 
+def top_scorers_by_season(star, k: int = 10) -> DataFrame:
+    """R2 for every season at once: the ``k`` best of each.
+
+    The place is a row number that is cut off at ``k``, so each task keeps only
+    its own ``k`` best rows of a season before the shuffle; fixtures outside a
+    season do not count.
+    """
+    fx = star.dim_fixtures.where(F.col("Season_ID").isNotNull()).select("Fixture_ID", "Season_ID")
+    goals = (star.fact_player.where(F.col("Goals_Scored").isNotNull()).select("Fixture_ID", "Player_ID", "Goals_Scored")
+             .join(fx, "Fixture_ID").groupBy("Season_ID", "Player_ID").agg(F.sum("Goals_Scored").alias("total_goals")))
+    best = Window.partitionBy("Season_ID").orderBy(F.col("total_goals").desc(), F.col("Player_ID").asc())
+    top = goals.withColumn("Place", F.row_number().over(best).cast("long")).where(F.col("Place") <= k)
+    return top.join(star.dim_players.select("Player_ID", "Player_Name"), "Player_ID").select(
+        "Season_ID", "Place", "Player_ID", "Player_Name", "total_goals")
+
+
 # -- R3 ---------------------------------------------------------------------
 HOME_AWAY_COLUMNS = ["Season_ID", "League_ID", "Team_Name", "Home_Points", "Away_Points",
                      "Home_Goals", "Away_Goals", "Avg_Home_Points", "Avg_Away_Points"]
@@ -139,7 +159,8 @@ def _side_sums(side: str, corrected: bool) -> list[Column]:
     ]
 
 
-def _home_away_finish(perf: DataFrame, star, fanout: bool) -> DataFrame:
+def home_away_of(perf: DataFrame, star, fanout: bool = False) -> DataFrame:
+    """R3 from each side's points, goals and matches per (season, league, team)."""
     named = _multiplied(perf.join(_teams(star, fanout), "Team_ID"), [
         f"{side}_{what}" for side in ("Home", "Away") for what in ("Points", "Goals", "Matches")])
     return (named
@@ -168,7 +189,7 @@ def home_away(star, single_pass: bool = True, corrected: bool = False, fanout: b
         home = ft.groupBy(*keys).agg(*_side_sums("Home", corrected))
         away = ft.groupBy(*keys).agg(*_side_sums("Away", corrected))
         perf = home.join(away, keys)
-    return _home_away_finish(perf, star, fanout)
+    return home_away_of(perf, star, fanout)
 
 
 # -- R4-R6 --------------------------------------------------------------------
@@ -254,6 +275,11 @@ def aggressive_teams(star, k: int = 10, fanout: bool = False) -> DataFrame:
         F.sum("Fouls").alias("f"), F.count("Fouls").alias("fn"),
         F.sum("Yellow_Cards").alias("y"), F.count("Yellow_Cards").alias("yn"),
         F.sum("Red_Cards").alias("r"), F.count("Red_Cards").alias("rn"))
+    return aggressive_teams_of(per_team, star, k, fanout)
+
+
+def aggressive_teams_of(per_team: DataFrame, star, k: int = 10, fanout: bool = False) -> DataFrame:
+    """R7 from the sums (f, y, r) and counts (m, fn, yn, rn) per Team_ID."""
     named = _multiplied(per_team.join(_teams(star, fanout), "Team_ID"), ["m", "f", "fn", "y", "yn", "r", "rn"])
     per_name = named.groupBy("Team_Name").agg(
         F.sum("m").alias("Matches_Played"),

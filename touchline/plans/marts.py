@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators import reports
-from touchline.sources.warehouse import save_counted
+from touchline.sources.warehouse import replace_partition, save_counted
 
 MARTS = {
     "mart_standings": lambda star: reports.standings(star, per_league=True),
@@ -81,14 +81,14 @@ def save_marts(star, database: str, root: str) -> dict[str, int]:
     return rows
 
 
-def refresh_season(star, database: str, season_id: int) -> None:
-    """Rewrite one season's partition of the season marts; ``star`` holds that season
-    (``warehouse.load_star(spark, db, season_id)``). Other seasons are not touched."""
+def refresh_season(star, database: str, season_id: int, root: str | None = None) -> None:
+    """Replace one season's partition of the season marts; ``star`` holds that season
+    (``warehouse.load_star(spark, db, season_id)``). Other seasons are not touched, and
+    each mart changes all at once (``replace_partition``). New folders go under ``root``,
+    by default next to the mart's own."""
     spark = star.dim_seasons.sparkSession
     for name in SEASON_MARTS:
+        table = f"{database}.{name}"
         df = ALL_MARTS[name](star).where(F.col("Season_ID") == season_id).drop("Season_ID")
-        view = f"_refresh_{name}"
-        df.createOrReplaceTempView(view)
-        # A static partition: overwrites this one only, whatever the session's overwrite mode.
-        spark.sql(f"INSERT OVERWRITE {database}.{name} PARTITION (Season_ID = {int(season_id)}) SELECT * FROM {view}")
-        spark.catalog.dropTempView(view)
+        own = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+        replace_partition(df, table, "Season_ID", season_id, f"{root.rstrip('/')}/{name}" if root else f"{own}_versions")

@@ -126,18 +126,11 @@ class ProxyStar:
                     .groupBy(F.col("l_orderkey").alias("Fixture_ID"), team.alias("team"))
                     .agg(F.sum(_qty().cast("long")).alias("qty"), F.count(F.lit(1)).alias("n"),
                          F.sum(F.col("l_linenumber").cast("long")).alias("lines")))
-        # The counter of the lowest (highest) team rides in the low digits of a
-        # packed minimum (maximum), so every aggregate stays fixed-width.
-        base = F.lit(10 ** 18).cast("decimal(19,0)")
+        # A long by a long is fixed-width, so this stays a hash aggregate.
         aggs = [F.min("team").alias("Home_Team_ID"), F.max("team").alias("Away_Team_ID")]
         for c in ("qty", "n", "lines"):
-            both = (F.col("team").cast("decimal(19,0)") * base + F.col(c).cast("decimal(18,0)")).cast("decimal(38,0)")
-            aggs += [F.min(both).alias(f"h_{c}"), F.max(both).alias(f"a_{c}")]
-        low = F.lit(10 ** 18).cast("decimal(38,0)")
-        return (per_team.groupBy("Fixture_ID").agg(*aggs)
-                .where(F.col("Home_Team_ID") != F.col("Away_Team_ID"))
-                .withColumns({f"{s}_{c}": F.pmod(F.col(f"{s}_{c}"), low).cast("long")
-                              for s in "ha" for c in ("qty", "n", "lines")}))
+            aggs += [F.min_by(c, "team").alias(f"h_{c}"), F.max_by(c, "team").alias(f"a_{c}")]
+        return per_team.groupBy("Fixture_ID").agg(*aggs).where(F.col("Home_Team_ID") != F.col("Away_Team_ID"))
 
     @cached_property
     def fact_team(self) -> DataFrame:

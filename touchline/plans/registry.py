@@ -42,6 +42,8 @@ def all_queries() -> dict[str, Query]:
     out.update(JSON_QUERIES)
     from touchline.plans.more_queries import MORE_QUERIES
     out.update(MORE_QUERIES)
+    from touchline.plans.growth_queries import GROWTH_QUERIES
+    out.update(GROWTH_QUERIES)
     return out
 
 
@@ -53,4 +55,6 @@ def all_oracles() -> dict[str, str]:
     out.update(json_oracles())
     from touchline.plans.more_oracles import more_oracles
     out.update(more_oracles())
+    from touchline.plans.growth_oracles import growth_oracles
+    out.update(growth_oracles())
     return out

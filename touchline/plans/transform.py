@@ -50,7 +50,8 @@ class EnvelopeStar:
     @cached_property
     def dim_teams(self) -> DataFrame:
         leagues = self.dim_leagues if self._league_source == "country" else None
-        return dims.build_dim_teams(self._env("teams"), self.dim_countries, leagues, self._league_source)
+        fixtures = self._work if self._league_source == "fixtures" else None
+        return dims.build_dim_teams(self._env("teams"), self.dim_countries, leagues, self._league_source, fixtures)
 
     @cached_property
     def dim_players(self) -> DataFrame:

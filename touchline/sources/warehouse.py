@@ -11,11 +11,18 @@
   column what did not convert or was missing.
 * ``save_star_tables`` / ``load_star``: catalog tables (Parquet), facts
   partitioned by season, so a report on one season reads one partition.
-  Row counts are observed while writing (K5), without another pass.
+  Row counts and rejects are observed while writing (K5), without another pass.
+* ``save_bucketed_star``: facts and fixtures bucketed and sorted by fixture,
+  so that they join in place, whatever their size.
+* ``replace_partition``: a partition's new version is written to a folder of
+  its own before the catalog points to it, so a failed or running refresh
+  never shows a reader half of it.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -144,6 +151,75 @@ def save_star_tables(star, database: str, root: str) -> dict[str, int]:
     return rows
 
 
+#: Tables that are bucketed by fixture.
+FIXTURE_TABLES = ("dim_fixtures", "fact_player", "fact_team")
+
+
+def save_bucketed_star(star, database: str, root: str, buckets: int = 64) -> dict[str, int]:
+    """The star as catalog tables; facts and fixtures in ``buckets`` buckets by Fixture_ID.
+
+    A fact then joins its fixtures without an exchange on either side. Rows
+    are dealt by the bucket's own hash before writing, so a table has one file
+    per bucket. Choose ``buckets`` so that a bucket fits a task (at 100 TB of
+    facts some 10^5); both sides must have the same number.
+    """
+    spark = star.dim_seasons.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/{database}.db'")
+    rows = {}
+    for name in STAR_TABLES:
+        df, path = conform(getattr(star, name), name), f"{root.rstrip('/')}/{name}"
+        if name not in FIXTURE_TABLES:
+            rows[name] = save_counted(df, f"{database}.{name}", path)
+            continue
+        seen = Observation(f"{database}_{name}")
+        (df.repartition(buckets, "Fixture_ID").observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+         .bucketBy(buckets, "Fixture_ID").sortBy("Fixture_ID").option("path", path).saveAsTable(f"{database}.{name}"))
+        rows[name] = seen.get["rows"]
+    return rows
+
+
+def reject_metrics(raw: DataFrame, table: str) -> list[Column]:
+    """``rows`` and, per DDL column, the values that do not convert: metrics for ``observe``."""
+    return [F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(_raw(raw, f).isNotNull() & _raw(raw, f).try_cast(f.dataType).isNull()).alias(f"bad_{f.name}")
+        for f in star_schema(table).fields]]
+
+
+def save_observed(raw: DataFrame, table: str, name: str, path: str) -> dict[str, int]:
+    """Load raw rows typed by the DDL of ``table`` into the catalog table ``name``.
+
+    Rows and rejects per column are metrics of the write itself: the input is
+    read once. The raw columns are observed before they are converted.
+    """
+    seen = Observation(f"load_{uuid.uuid4().hex[:12]}")
+    conform(raw.observe(seen, *reject_metrics(raw, table)), table).write.mode("overwrite").option(
+        "path", path).saveAsTable(name)
+    return dict(seen.get)
+
+
+def replace_partition(df: DataFrame, table: str, column: str, value: int, root: str) -> str:
+    """Make ``df`` (without ``column``) the partition ``column = value`` of a catalog table, all or nothing.
+
+    The rows go to a fresh folder first; then one catalog change points the
+    partition there. Whatever fails before leaves the old rows in place, and
+    files that a reader holds are not touched. Returns the new folder; earlier
+    folders can be removed once no reader needs them.
+    """
+    spark = df.sparkSession
+    path = f"{root.rstrip('/')}/{column}={value}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    point_partition(spark, table, column, value, path)
+    return path
+
+
+def point_partition(spark: SparkSession, table: str, column: str, value: int, path: str) -> None:
+    """Point a partition of a catalog table to a folder."""
+    spec = f"PARTITION ({column} = {int(value)})"
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+
+
 def load_csv_to_tables(spark: SparkSession, csv_dir: str, database: str, root: str) -> dict[str, int]:
     """Every CSV folder into its catalog table."""
     return save_star_tables(load_star_csv(spark, csv_dir), database, root)
