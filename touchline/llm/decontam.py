@@ -255,7 +255,8 @@ def _indexes(benchmark: DataFrame, settings: Settings) -> Iterator[Index]:
 def contaminated(documents: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap: one row per verified pair."""
     spark = documents.sparkSession
-    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
+    # Documents' ids go through Python as text: beside a NULL, pandas would round numbers.
+    schema = "doc_id string, item_id long, score double, question_overlap double, answer_overlap double"
     out = None
     for part in _indexes(benchmark, settings):
         index = spark.sparkContext.broadcast(part)
@@ -266,13 +267,13 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, settings: Settings
                         for h in index.value.hits(t)]
                 got = pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
                                    dtype=object)  # so that a NULL beside it does not round an id
-                yield got.astype({"doc_id": "Int64", "item_id": "Int64", "score": float, "question_overlap": float,
+                yield got.astype({"item_id": "Int64", "score": float, "question_overlap": float,
                                   "answer_overlap": float})
-        part = documents.select(F.col("doc_id").cast("long"), "text").mapInPandas(search, schema)
+        part = documents.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text").mapInPandas(search, schema)
         out = part if out is None else out.unionAll(part)
     if out is None:
-        return spark.createDataFrame([], schema)
-    return out.groupBy("doc_id", "item_id").agg(
+        out = spark.createDataFrame([], schema)
+    return out.withColumn("doc_id", F.col("doc_id").cast("long")).groupBy("doc_id", "item_id").agg(
         F.round(F.max("score"), 6).alias("score"), F.max("question_overlap").alias("question_overlap"),
         F.max("answer_overlap").alias("answer_overlap"))
 

@@ -41,6 +41,9 @@ MIX = np.uint64(0xBF58476D1CE4E5B9)
 STRETCH = 1 << 20
 ROWS_PER_BLOCK = 16_384
 MAX_GROUP = 200_000
+#: Least (negative: greatest) id of a class without ids. No number that Python sees
+#: is ever NULL: pandas would make its column a float and round large ids.
+NONE = (1 << 63) - 1
 
 
 @dataclass(frozen=True)
@@ -221,7 +224,7 @@ def window_matches(found: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def covered(documents: DataFrame, scheme: Scheme, max_group: int = MAX_GROUP) -> DataFrame:
-    """doc_id, blob (packed text), runs (start << 32 | end, in units); one row per input row."""
+    """doc_id (as text), blob (packed text), runs (start << 32 | end, in units); one row per input row."""
     texts = keyed(documents)
     rows = anchor_rows(texts.select("did", "h", "text"), scheme)
     often = written(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") > 1), "grams")
@@ -229,7 +232,8 @@ def covered(documents: DataFrame, scheme: Scheme, max_group: int = MAX_GROUP) ->
     ids = F.when(F.col("did") != -1 << 63, F.col("did"))
     one = F.struct("did", "h", "pos", "shape")
     classes = live.groupBy("gram", "body").agg(
-        F.count(F.lit(1)).alias("n"), F.min(ids).alias("low"), F.max(ids).alias("high"),
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.min(ids), F.lit(NONE)).alias("low"),
+        F.coalesce(F.max(ids), F.lit(-NONE)).alias("high"),
         F.min(one).alias("one"), F.max("times").alias("times"))
     blobs = texts.select("did", "h", "doc_id", packed("text").alias("blob"))
     keys = blobs.drop("doc_id")
@@ -243,7 +247,12 @@ def covered(documents: DataFrame, scheme: Scheme, max_group: int = MAX_GROUP) ->
     start, end = F.col("pos") + F.col("first"), F.col("pos") + F.col("last") + scheme.width
     runs = (back.select("did", "h", (F.shiftleft(start, 32) + end).alias("run")).groupBy("did", "h")
             .agg(F.collect_list("run").alias("runs")))
-    return blobs.join(runs, ["did", "h"], "left").select("doc_id", "blob", "runs")
+    return blobs.join(runs, ["did", "h"], "left").select(F.col("doc_id").cast("string").alias("doc_id"), "blob", "runs")
+
+
+def with_long_id(df: DataFrame) -> DataFrame:
+    """The ids that ``covered`` gave as text, as numbers again."""
+    return df.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def merged_runs(runs) -> list[tuple[int, int]]:

@@ -38,7 +38,7 @@ from touchline.llm.repeats import Scheme, merged_runs, paired
 WIDTH, GRAM, EDGE = 50, 8, 5
 CENTRE = WIDTH - GRAM
 COLUMNS = CENTRE + WIDTH
-NEVER = np.iinfo(np.int64).max
+NEVER = repeats.NONE
 
 
 def units(text: str) -> list[bytes]:
@@ -97,8 +97,7 @@ def match(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     for k, text in enumerate(frame["text"]):
         words = text.split(b" ")
         grid[k, first[k]:first[k] + len(words)] = [numbers.setdefault(w, len(numbers) + 1) for w in words]
-    low = frame["low"].astype("Int64").fillna(NEVER).to_numpy(np.int64)
-    high = frame["high"].astype("Int64").fillna(-NEVER).to_numpy(np.int64)
+    low, high = frame["low"].to_numpy(), frame["high"].to_numpy()
     row = np.repeat(np.arange(len(frame)), n_windows)
     window = np.arange(len(row)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
     node = deep_nodes(grid, row, first[row] + window)
@@ -131,9 +130,9 @@ def remove_repeats(documents: DataFrame, max_group: int = repeats.MAX_GROUP) ->
                 edge = [0, *(x for run in gone for x in run), len(words)]
                 rest = [w for s, e in zip(edge[::2], edge[1::2], strict=True) for w in words[s:e]]
                 out.append((doc_id, len(words), len(words) - len(rest), b" ".join(rest).decode("utf-8")))
-            yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept"]).astype({"doc_id": "Int64"})
-    return repeats.covered(documents, SCHEME, max_group).mapInPandas(
-        kept, "doc_id long, n_words long, n_removed long, kept string")
+            yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept"])
+    return repeats.with_long_id(repeats.covered(documents, SCHEME, max_group).mapInPandas(
+        kept, "doc_id string, n_words long, n_removed long, kept string"))
 
 
 def digest(documents: DataFrame, max_group: int = repeats.MAX_GROUP) -> DataFrame:

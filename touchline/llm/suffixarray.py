@@ -123,9 +123,9 @@ def remove_repeats(documents: DataFrame, max_group: int = repeats.MAX_GROUP) ->
                 edge = [0, *(x for run in gone for x in run), len(data)]
                 rest = b"".join(data[s:e] for s, e in zip(edge[::2], edge[1::2], strict=True))
                 out.append((doc_id, len(data), [{"start": s, "end": e} for s, e in gone], rest))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "spans", "kept"]).astype({"doc_id": "Int64"})
-    return repeats.covered(documents, SCHEME, max_group).mapInPandas(
-        kept, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "spans", "kept"])
+    return repeats.with_long_id(repeats.covered(documents, SCHEME, max_group).mapInPandas(
+        kept, "doc_id string, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"))
 
 
 def digest(documents: DataFrame, max_group: int = repeats.MAX_GROUP) -> DataFrame:
@@ -141,7 +141,6 @@ def digest(documents: DataFrame, max_group: int = repeats.MAX_GROUP) -> DataFram
                     at = e
                 rest.update(data[at:])
                 out.append((doc_id, len(data), sum(e - s for s, e in gone), len(gone), rest.hexdigest()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-                               ).astype({"doc_id": "Int64"})
-    return repeats.covered(documents, SCHEME, max_group).mapInPandas(
-        measured, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+    return repeats.with_long_id(repeats.covered(documents, SCHEME, max_group).mapInPandas(
+        measured, "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))

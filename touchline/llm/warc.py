@@ -87,8 +87,8 @@ def _open(root: str):
 
 def _header(row, n_bytes: int) -> tuple[bytes, int]:
     """WARC header plus the start of the block; length of that start."""
-    page = None if pd.isna(row.page_id) else int(row.page_id)
-    revisit = not pd.isna(row.response_id)
+    page = None if row.page_id is None else int(row.page_id)
+    revisit = row.response_id is not None
     target = row.url if isinstance(row.url, str) else f"urn:page:{'none' if page is None else page}"
     target = "".join(f"%{ord(c):02X}" if c in "\r\n" else c for c in target)
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -132,19 +132,22 @@ def write_archives(pages: DataFrame, root: str, min_revisit_bytes: int = 0, leve
                         close_record()
                         current, packer = row.row, zlib.compressobj(level, zlib.DEFLATED, 31)
                         head, _ = _header(row, int(row.n_bytes))
-                        page = None if pd.isna(row.page_id) else int(row.page_id)
-                        rows.append([path, at, 0, page, "response" if pd.isna(row.response_id) else "revisit"])
+                        page = None if row.page_id is None else int(row.page_id)
+                        rows.append([path, at, 0, page, "response" if row.response_id is None else "revisit"])
                         put(packer.compress(head))
                     put(packer.compress(row.data))
             close_record()
         finally:
             if out is not None:
                 out.close()
-        frame = pd.DataFrame(rows, columns=["path", "offset", "length", "page_id", "record_type"])
-        yield frame.astype({"page_id": "Int64"})
+        frame = pd.DataFrame(rows, columns=["path", "offset", "length", "page_id", "record_type"], dtype=object)
+        yield frame.astype({"offset": "int64", "length": "int64", "page_id": "Int64"})
 
+    # Ids go through Python as text: beside a NULL, pandas would round numbers.
+    chunks = chunk_rows(pages, min_revisit_bytes).withColumns(
+        {c: F.col(c).cast("string") for c in ("page_id", "response_id")})
     # A record's chunks come from one row, so they stand together in one task.
-    return written(chunk_rows(pages, min_revisit_bytes).mapInPandas(write, MANIFEST), "warc-manifest")
+    return written(chunks.mapInPandas(write, MANIFEST), "warc-manifest")
 
 
 class _Member:
@@ -239,7 +242,8 @@ def read_archives(manifest: DataFrame, root: str, keep_data: bool = True) -> Dat
 
 
 def _frame(rows: list, names: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+    return pd.DataFrame(rows, columns=names, dtype=object).astype(
+        {"page_id": "Int64", "refers_to": "Int64", "chunk_no": "int64", "n_bytes": "int64", "last": bool})
 
 
 def records(chunks: DataFrame) -> DataFrame:
