@@ -114,6 +114,21 @@ def test_scorers_of_each_season_are_limited_before_the_shuffle(spark):
         assert one == [r.Player_ID for r in reports.top_scorers(star, k=3, season_id=season).collect()]
 
 
+def test_spells_of_a_transferred_player(spark):
+    days = [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 6), (7, None)]
+    fixtures = spark.createDataFrame(days, "Fixture_ID long, day int").select(
+        "Fixture_ID", F.expr("timestamp_seconds(day * 86400)").alias("Match_Date"))
+    rows = [(f, t, 9) for f, t in ((1, 10), (2, 10), (3, 20), (4, 10), (6, 10), (7, 30))] + [(f, 50, 8) for f in range(1, 7)]
+    fact = spark.createDataFrame([*rows, (5, 99, None)], "Fixture_ID long, Team_ID long, Player_ID long").repartition(3)
+    matches = dims.team_matches(fact, fixtures)
+    got = [(r.Player_ID, r.Spell, r.Team_ID, r.First_Date.day, r.Last_Date.day, r.Matches) for r in dims.team_spells(matches).collect()]
+    assert sorted(got) == [(8, 1, 50, 2, 7, 6), (9, 1, 10, 2, 3, 2), (9, 2, 20, 4, 4, 1), (9, 3, 10, 5, 7, 2)]
+    at = {(r.Player_ID, r.Fixture_ID): r.Team_ID for r in dims.with_team_at(fact, matches, fixtures).collect()}
+    assert at[9, 3] == 20 and at[9, 4] == 10 and at[9, 7] is None and at[None, 5] is None and len(at) == 13
+    plan = _plan(dims.team_spells(matches))
+    assert "hashpartitioning(Player_ID" not in "".join(line for line in plan.splitlines() if "Window" in line)
+
+
 def test_drift_and_bootstrap(spark):
     docs = spark.createDataFrame([
         ('{"get":"teams","results":1,"response":[{"team":{"id":1,"name":"A","code":"x"},"venue":{"id":null}}]}',),

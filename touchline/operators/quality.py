@@ -42,12 +42,17 @@ def fk_report(star, foreign_keys=FOREIGN_KEYS) -> DataFrame:
     """One row per declared foreign key with its orphan count.
 
     Every table is read once and gives a row for each of its references and
-    each of its referenced keys: (key, value, reference or none). One aggregate
-    per (key, value), map-side combined, says whether the key has the value
-    and how many rows of each reference name it; a second one adds up what is
-    not there. No join, and two exchanges whatever the number of references.
+    each of its referenced keys: (key, value, number of the reference among
+    those to that key, or none). One aggregate per (key, value), map-side
+    combined, says whether the key has the value and how many rows of each
+    reference name it; a second one adds up what is not there. No join, and two
+    exchanges whatever the number of references.
     """
     keys = sorted({(parent, pcol) for _, _, parent, pcol in foreign_keys})
+    to_key: dict[tuple[str, str], list[tuple[str, str]]] = {k: [] for k in keys}
+    for child, col, parent, pcol in foreign_keys:
+        to_key[parent, pcol].append((child, col))
+    most = max(map(len, to_key.values()))
     columns = {(child, col) for child, col, _, _ in foreign_keys} | set(keys)
     for table, column in sorted(columns):
         _require(table, getattr(star, table), [column])
@@ -56,20 +61,22 @@ def fk_report(star, foreign_keys=FOREIGN_KEYS) -> DataFrame:
     for table in sorted({t for child, _, parent, _ in foreign_keys for t in (child, parent)}):
         df, roles = getattr(star, table), []
         own = [(pcol, keys.index((parent, pcol)), -1) for parent, pcol in keys if parent == table]
-        own += [(col, keys.index((parent, pcol)), n) for n, (child, col, parent, pcol) in enumerate(foreign_keys)
-                if child == table]
+        own += [(col, i, n) for i, k in enumerate(keys) for n, (child, col) in enumerate(to_key[k]) if child == table]
         for column, key, n in own:
             roles.append(F.struct(F.lit(key).alias("key"), F.col(column).cast("long" if whole else "string").alias("value"), F.lit(n).alias("n")))
         parts.append(df.select(F.inline(F.array(*roles))))
     rows = reduce(DataFrame.unionAll, parts).where(F.col("value").isNotNull())
     per_value = rows.groupBy("key", "value").agg(
         F.count_if(F.col("n") < 0).alias("held"),
-        *[F.count_if(F.col("n") == n).alias(f"r{n}") for n in range(len(foreign_keys))])
-    orphans = per_value.agg(*[F.coalesce(F.sum(F.when(F.col("held") == 0, F.col(f"r{n}"))), F.lit(0)).alias(f"r{n}")
-                              for n in range(len(foreign_keys))])
+        *[F.count_if(F.col("n") == n).alias(f"r{n}") for n in range(most)])
+    missing = per_value.where(F.col("held") == 0)
+    orphans = missing.agg(*[
+        F.coalesce(F.sum(F.when(F.col("key") == i, F.col(f"r{n}"))), F.lit(0)).alias(f"k{i}r{n}")
+        for i, k in enumerate(keys) for n in range(len(to_key[k]))])
     return orphans.select(F.inline(F.array(*[
         F.struct(F.lit(child).alias("Child_Table"), F.lit(col).alias("Child_Column"), F.lit(parent).alias("Parent_Table"),
-                 F.col(f"r{n}").alias("Orphan_Rows")) for n, (child, col, parent, _) in enumerate(foreign_keys)])))
+                 F.col(f"k{i}r{n}").alias("Orphan_Rows"))
+        for i, (parent, pcol) in enumerate(keys) for n, (child, col) in enumerate(to_key[parent, pcol])])))
 
 
 def pk_report(star, primary_keys=PRIMARY_KEYS) -> DataFrame:

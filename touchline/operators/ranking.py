@@ -109,3 +109,26 @@ def row_number_by(df: DataFrame, order: Sequence[tuple[str, bool]], name: str =
     return (ranged.join(_offsets(ranged, F.lit(1)), F.col("_range") == F.col("_r"))
             .withColumn(name, (F.col("_off") + F.col("_place") + 1).cast("long"))
             .drop("_range", "_place", "_off", "_r"))
+
+
+def islands(df: DataFrame, key: str, time: str, value: str, name: str = "Island") -> DataFrame:
+    """Add ``name``: a number for each run of one ``value`` in order of ``time`` within ``key``.
+
+    Numbers ascend over all keys and times without gaps. (key, time) must be
+    unique and not NULL. No window holds a key: rows are sorted in ranges of
+    (key, time); a range's first row is compared with the last row of the
+    range before, and the runs of earlier ranges are added up, one row per range.
+    """
+    ranged = _ranged(df, [F.col(key).asc(), F.col(time).asc()])
+    within = Window.partitionBy("_range").orderBy("_place")
+    last = ranged.groupBy("_range").agg(F.max_by(F.struct(key, value), "_place").alias("_last"))
+    before = last.select(F.col("_range").alias("_r"), F.lag("_last").over(Window.orderBy("_range")).alias("_before"))
+    earlier = F.coalesce(F.lag(F.struct(key, value)).over(within), F.col("_before"))
+    marked = ranged.join(before, F.col("_range") == F.col("_r")).withColumn("_earlier", earlier).drop("_r", "_before")
+    new = F.col("_earlier").isNull() | (F.col("_earlier")[key] != F.col(key)) | ~F.col("_earlier")[value].eqNullSafe(F.col(value))
+    marked = marked.withColumn("_new", new.cast("long"))
+    totals = _offsets(marked, F.col("_new"))
+    so_far = F.sum("_new").over(within.rowsBetween(Window.unboundedPreceding, 0))
+    return (marked.withColumn("_local", so_far).join(totals, F.col("_range") == F.col("_r"))
+            .withColumn(name, (F.col("_local") + F.col("_off")).cast("long"))
+            .drop("_range", "_place", "_earlier", "_new", "_local", "_r", "_off"))

@@ -21,10 +21,13 @@ semantics (a draw is a "loss", every match counts as a home match, ...);
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.numeric import round_avg, round_ratio
+from touchline.operators.dims import team_matches, with_team_at
 from touchline.operators.ranking import rank_by
 
 STANDINGS_ORDER = [("League_Points", True), ("Goal_Difference", True), ("Goals_For", True)]
@@ -193,6 +196,21 @@ def home_away(star, single_pass: bool = True, corrected: bool = False, fanout: b
 
 
 # -- R4-R6 --------------------------------------------------------------------
+def at_the_time(star):
+    """The star with each appearance under the team that the player had then.
+
+    R4-R6 with ``by_team=True`` over it count a transferred player once per
+    team, under that team's name, instead of under the latest one.
+    """
+    matches = team_matches(star.fact_player, star.dim_fixtures)
+    fact = with_team_at(star.fact_player, matches, star.dim_fixtures)
+    return SimpleNamespace(dim_teams=star.dim_teams, dim_players=star.dim_players, fact_player=fact)
+
+
+def _player_keys(by_team: bool) -> list[str]:
+    return ["Player_ID", "Team_ID"] if by_team else ["Player_ID"]
+
+
 def _player_team(star, fanout: bool) -> DataFrame:
     """dim_players with the team name of the player's (latest) team."""
     return star.dim_players.select("Player_ID", "Player_Name", "Team_ID").join(_teams(star, fanout), "Team_ID")
@@ -203,19 +221,25 @@ def _with_team(per_player: DataFrame, star, fanout: bool, min_matches: int, sums
     fan-out the filter runs before the joins."""
     if not fanout:
         per_player = per_player.where(F.col("Matches_Played") >= min_matches)
-    named = _multiplied(per_player.join(_player_team(star, fanout), "Player_ID"), ["Matches_Played", *sums])
+    if "Team_ID" in per_player.columns:   # by team at the time
+        named = per_player.join(star.dim_players.select("Player_ID", "Player_Name"), "Player_ID").join(
+            _teams(star, fanout), "Team_ID")
+    else:
+        named = per_player.join(_player_team(star, fanout), "Player_ID")
+    named = _multiplied(named, ["Matches_Played", *sums])
     return named.where(F.col("Matches_Played") >= min_matches) if fanout else named
 
 
 def _top(df: DataFrame, metric: str, k: int, tie: str, cols: list[str]) -> DataFrame:
-    return df.orderBy(F.col(metric).desc_nulls_last(), F.col(tie).asc()).limit(k).select(*cols)
+    ties = [F.col(tie).asc()] + ([F.col("Team_ID").asc()] if "Team_ID" in df.columns and tie != "Team_ID" else [])
+    return df.orderBy(F.col(metric).desc_nulls_last(), *ties).limit(k).select(*cols)
 
 
 def consistent_players(star, min_minutes: int = 60, min_matches: int = 10, k: int = 10,
-                       fanout: bool = False) -> DataFrame:
+                       fanout: bool = False, by_team: bool = False) -> DataFrame:
     """R4 highest average rating among regular starters."""
     per_player = (star.fact_player.where(F.col("Minutes_Played") >= min_minutes)
-                  .groupBy("Player_ID")
+                  .groupBy(*_player_keys(by_team))
                   .agg(F.count("Fixture_ID").alias("Matches_Played"),
                        F.sum("Rating").alias("_rating_sum"), F.count("Rating").alias("_rating_n")))
     out = (_with_team(per_player, star, fanout, min_matches, ["_rating_sum", "_rating_n"])
@@ -225,14 +249,14 @@ def consistent_players(star, min_minutes: int = 60, min_matches: int = 10, k: in
 
 
 def impactful_players(star, min_matches: int = 10, k: int = 10,
-                      coalesce_nulls: bool = False, fanout: bool = False) -> DataFrame:
+                      coalesce_nulls: bool = False, fanout: bool = False, by_team: bool = False) -> DataFrame:
     """R5 goal contributions. Goals + Assists is NULL when either is NULL
     (Q-10, faithful); ``coalesce_nulls=True`` counts a missing value as 0."""
     g, a = F.col("Goals_Scored"), F.col("Assists")
     if coalesce_nulls:
         g, a = F.coalesce(g, F.lit(0)), F.coalesce(a, F.lit(0))
     contrib = g + a
-    per_player = (star.fact_player.groupBy("Player_ID")
+    per_player = (star.fact_player.groupBy(*_player_keys(by_team))
                   .agg(F.count("Fixture_ID").alias("Matches_Played"),
                        F.sum(g).alias("Total_Goals"), F.sum(a).alias("Total_Assists"),
                        F.sum(contrib).alias("Goal_Contributions"),
@@ -246,11 +270,11 @@ def impactful_players(star, min_matches: int = 10, k: int = 10,
                  "Goal_Contributions", "Avg_Goal_Contributions"])
 
 
-def best_goalkeepers(star, min_matches: int = 10, k: int = 10, fanout: bool = False) -> DataFrame:
+def best_goalkeepers(star, min_matches: int = 10, k: int = 10, fanout: bool = False, by_team: bool = False) -> DataFrame:
     """R6 save percentage of goalkeepers. The numerator sums every save, the
     denominator only rows where both values exist (Q-11, kept)."""
     per_player = (star.fact_player.where(F.col("Position") == "G")
-                  .groupBy("Player_ID")
+                  .groupBy(*_player_keys(by_team))
                   .agg(F.count("Fixture_ID").alias("Matches_Played"),
                        F.sum("Saves").alias("Total_Saves"),
                        F.sum("Goals_Conceded").alias("Goals_Allowed"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from touchline.plans.json_oracles import flatten_team_stats_sql
-from touchline.plans.oracles import AGGRESSIVE_TEAMS, home_away_sql, standings_sql, with_proxy
+from touchline.plans.oracles import AGGRESSIVE_TEAMS, home_away_sql, ratio_sql, standings_sql, with_proxy
 
 PENDING_BITMAP = with_proxy("""
 SELECT Fixture_ID FROM dim_fixtures f
@@ -37,6 +37,32 @@ SELECT Season_ID, Place, Player_ID, p_name AS Player_Name, total_goals FROM (
         WHERE l.l_linenumber % 4 > 0 GROUP BY ALL))
 JOIN part ON p_partkey = Player_ID WHERE Place <= 10""")
 
+_SPELLS = """
+seen AS (
+  SELECT l_partkey AS p, Match_Date AS d, max(l_suppkey) AS team, count(*) AS n
+  FROM lineitem JOIN dim_fixtures ON Fixture_ID = l_orderkey GROUP BY ALL),
+steps AS (
+  SELECT *, CASE WHEN lag(team) OVER (PARTITION BY p ORDER BY d) IS NOT DISTINCT FROM team THEN 0 ELSE 1 END AS new FROM seen),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY p ORDER BY d) AS spell FROM steps)"""
+TEAM_SPELLS = with_proxy("""
+SELECT p AS Player_ID, CAST(spell AS BIGINT) AS Spell, any_value(team) AS Team_ID, min(d) AS First_Date, max(d) AS Last_Date,
+       CAST(sum(n) AS BIGINT) AS Matches
+FROM runs GROUP BY p, spell""", _SPELLS)
+
+_BOTH = "FILTER (l_linenumber % 4 > 0 AND l_linenumber % 3 > 0)"
+IMPACTFUL_BY_SPELL = with_proxy(f"""
+SELECT p_name AS Player_Name, s_name AS Team_Name, n AS Matches_Played, g AS Total_Goals, a AS Total_Assists,
+       both_ AS Goal_Contributions, average AS Avg_Goal_Contributions
+FROM (SELECT *, row_number() OVER (ORDER BY both_ DESC NULLS LAST, l_partkey, team) AS place FROM (
+  SELECT l_partkey, seen.team, count(*) AS n, CAST(sum(NULLIF(l_linenumber % 4, 0)) AS BIGINT) AS g,
+         CAST(sum(NULLIF(l_linenumber % 3, 0)) AS BIGINT) AS a,
+         CAST(sum(l_linenumber % 4 + l_linenumber % 3) {_BOTH} AS BIGINT) AS both_,
+         {ratio_sql(f"sum(l_linenumber % 4 + l_linenumber % 3) {_BOTH}", f"count(*) {_BOTH}")} AS average
+  FROM lineitem JOIN dim_fixtures f ON f.Fixture_ID = l_orderkey JOIN seen ON seen.p = l_partkey AND seen.d = f.Match_Date
+  GROUP BY ALL)
+  JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = team WHERE n >= 2)
+WHERE place <= 10""", _SPELLS)
+
 TEAM_LEAGUES = with_proxy("""
 SELECT Season_ID, Home_Team_ID AS Team_ID, League_ID FROM dim_fixtures
 UNION SELECT Season_ID, Away_Team_ID, League_ID FROM dim_fixtures""")
@@ -62,6 +88,8 @@ def growth_oracles() -> dict[str, str]:
         "load_observed": LOAD_OBSERVED,
         "schema_drift": SCHEMA_DRIFT,
         "top_scorers_by_season": TOP_SCORERS_BY_SEASON,
+        "team_spells": TEAM_SPELLS,
+        "impactful_players_by_spell": IMPACTFUL_BY_SPELL,
         "team_leagues": TEAM_LEAGUES,
         "dim_teams_from_fixtures": DIM_TEAMS_FROM_FIXTURES,
     }

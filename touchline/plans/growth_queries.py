@@ -161,6 +161,11 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.drift(spark.read.text(path).withColumnRenamed("value", "doc"), ENDPOINT_TEAMS)
 
 
+# -- J6: teams at the time of the match ---------------------------------------------------------
+def _spells(star: ProxyStar) -> DataFrame:
+    return dims.team_spells(dims.team_matches(star.fact_player, star.dim_fixtures))
+
+
 def _json(view):
     return lambda s, d: view(JsonProxy(s, d))
 
@@ -178,6 +183,9 @@ GROWTH_QUERIES = {
     "load_observed": load_observed,
     "schema_drift": schema_drift,
     "top_scorers_by_season": lambda s, d: reports.top_scorers_by_season(ProxyStar(s, d)),
+    "team_spells": lambda s, d: _spells(ProxyStar(s, d)),
+    "impactful_players_by_spell": lambda s, d: reports.impactful_players(
+        reports.at_the_time(ProxyStar(s, d)), min_matches=2, by_team=True),
     "team_leagues": lambda s, d: dims.team_leagues(ProxyStar(s, d).dim_fixtures),
     "dim_teams_from_fixtures": _json(lambda j: dims.build_dim_teams(
         j.valid(ENDPOINT_TEAMS), j.countries, league_source="fixtures", fixtures=j.fixtures_work)),
