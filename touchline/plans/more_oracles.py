@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from touchline.plans.oracles import standings_sql, with_proxy
+from touchline.schemas import STAR_DDL
 
 EAV_PIVOT_EVENTS = """
 SELECT user_id, max(value) FILTER (event_type = 'click') AS max_click,
@@ -118,19 +119,30 @@ SELECT Fixture_ID, Team_ID, Player_ID, Minutes_Played, Position, Rating, Goals_S
 FROM fact_player""")
 
 
-# All whole-number columns of each table, written out.
-_CHECKED = {
-    "dim_seasons": "Season_ID + Season_Year", "dim_countries": "Country_ID", "dim_leagues": "League_ID + Country_ID",
-    "dim_venues": "Venue_ID + Country_ID + Capacity", "dim_teams": "Team_ID + League_ID + Home_Venue_ID",
-    "dim_players": "Player_ID + Team_ID",
-    "dim_fixtures": "Fixture_ID + League_ID + Season_ID + Home_Team_ID + Away_Team_ID + Venue_ID",
-    "fact_player": "Fixture_ID + Team_ID + Player_ID + Minutes_Played + coalesce(Goals_Scored, 0) "
-                   "+ coalesce(Assists, 0) + Saves + Goals_Conceded",
-    "fact_team": "Fixture_ID + Team_ID + Goals_Scored + Goals_Conceded + Fouls + Yellow_Cards "
-                 "+ coalesce(Red_Cards, 0)"}
+# Every column of each table by name; those that the proxy lacks are NULL.
+_HELD = {"fact_player": "Fixture_ID Team_ID Player_ID Minutes_Played Position Rating Goals_Scored Assists Saves Goals_Conceded",
+         "fact_team": "Fixture_ID Team_ID Goals_Scored Goals_Conceded Winner_Team Fouls Yellow_Cards Red_Cards"}
+
+
+def _row_text(table: str) -> str:
+    out = []
+    for name, kind in (c.strip().split(" ") for c in STAR_DDL[table].split(",")):
+        if name not in _HELD.get(table, name).split():
+            value = "'-'"
+        elif kind == "double":
+            value = f"coalesce(CAST(CAST(round({name} * 100) AS BIGINT) AS VARCHAR), '-')"
+        elif kind == "timestamp":
+            value = f"coalesce(CAST(CAST(epoch(CAST({name} AS TIMESTAMP)) AS BIGINT) AS VARCHAR), '-')"
+        else:
+            value = f"coalesce(CAST({name} AS VARCHAR), '-')"
+        out.append(f"'{name}=' || {value} || ';'")
+    return " || ".join(out)
+
+
 LOAD_STAR_TABLES = with_proxy("\nUNION ALL\n".join(
-    f"SELECT '{t}' AS Table_Name, count(*) AS Row_Count, CAST(sum({e}) AS BIGINT) AS Checksum FROM {t}"
-    for t, e in _CHECKED.items()))
+    f"SELECT '{t}' AS Table_Name, count(*) AS Row_Count, "
+    f"CAST(sum(CAST('0x' || substr(md5({_row_text(t)}), 1, 8) AS BIGINT)) AS BIGINT) AS Checksum FROM {t}"
+    for t in STAR_DDL))
 
 SEASON_STANDINGS = f"SELECT * FROM ({standings_sql(per_league=True, json_star=True)}) WHERE Season_ID = 3"
 

@@ -22,6 +22,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,30 @@ def conform(df: DataFrame, table: str) -> DataFrame:
         for f in star_schema(table).fields])
 
 
+def row_digest(df: DataFrame) -> Column:
+    """MD5 of a row with its columns by name: swapped columns and changed values of any type show.
+
+    Doubles count in hundredths, times in seconds.
+    """
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DoubleType):
+            c = F.round(c * 100).cast("long")
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.unix_seconds(c.cast("timestamp"))
+        parts += [F.lit(f"{f.name}="), F.coalesce(c.cast("string"), F.lit("-")), F.lit(";")]
+    return F.md5(F.concat(*parts))
+
+
+def table_digests(star) -> DataFrame:
+    """Table_Name, Row_Count, Checksum (sum of the heads of all rows' digests): one row per star table."""
+    head = lambda df: F.conv(F.substring(row_digest(df), 1, 8), 16, 10).cast("long")
+    return reduce(DataFrame.unionAll, [
+        df.agg(F.count(F.lit(1)).alias("Row_Count"), F.sum(head(df)).alias("Checksum"))
+        .select(F.lit(name).alias("Table_Name"), "Row_Count", "Checksum") for name, df in star.items()])
+
+
 def load_rejects(df: DataFrame, table: str) -> DataFrame:
     """Column_Name, Rows, Rejected (values that do not convert), Missing (no such column).
 
