@@ -5,8 +5,9 @@ it keeps one backpointer, the last piece of the best segmentation of that
 prefix; a piece is at most ``max_len`` characters long, so only the last
 ``max_len`` boundaries can still be extended. Whenever all surviving
 backpointer paths meet in one boundary, everything before it is final: its
-ids are committed and the window is cut there. Memory is bounded by the
-distance between such boundaries, not by the text.
+ids are committed and the window is cut there. The search's own memory is
+bounded by the distance between such boundaries; a text, the list of its
+chunks and its ids are held whole while it is encoded.
 
 Two kinds of model decide which last piece is best:
 
@@ -18,10 +19,13 @@ Two kinds of model decide which last piece is best:
              merging the whole text.
 
 If no piece holds the space mark after another character, all paths meet at
-the start of every run of space marks, and the chunks between those can be
-searched side by side: short new chunks of a batch advance together, one
-boundary at a time, over a trie of the pieces. Chunks recur, so each worker
-remembers the ids of a bounded number of them.
+the start of every run of space marks. Those boundaries are known before the
+search, so a text is cut there first, and what lies between is a window of
+its own. New windows of at most ``SHORT`` characters advance side by side, one
+boundary at a time, over a trie of the pieces, and are committed whole at
+their end; only longer ones (runs without a space) are walked with the moving
+window above. Windows recur, so each worker remembers the ids of a bounded
+number of them. In the given prose nearly all windows are short.
 
 Text is used as it is (identity normalisation) with one space mark put in
 front. Characters without a piece become byte pieces, or the unknown id.

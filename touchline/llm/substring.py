@@ -4,12 +4,13 @@ A word goes if it is covered by a window of ``WIDTH`` words whose word
 sequence also starts in a document with a smaller doc_id; windows are judged
 on the input.
 
-Partition: the suffix that starts with a window is dealt by a prefix of it
-that ends with the window's sampled gram (see ``repeats``), so its length
-varies with the content from ``GRAM`` words to the whole window. Equal
-windows have equal prefixes and meet in one group. Groups are packed into
-memory-sized blocks; one with too many suffixes is dealt by the whole window
-instead.
+Partition: the suffix that starts with a window is dealt by the hash of the
+window's sampled gram (see ``repeats``), which lies somewhere in its first
+``WIDTH`` words; the words before the gram are not in the key, and no prefix
+is lengthened for a large group. Equal windows pick equal grams and meet in
+one group. Groups are packed into blocks of some ten thousand contexts; one
+with more than ``max_group`` occurrences is not treed but compared window by
+window through a 128-bit digest.
 
 Subtree: each block's suffixes are grown top down, ``EDGE`` words at a time.
 A node is the set of suffixes with one common prefix; those alone in their

@@ -5,14 +5,15 @@ anywhere else, in the same document or another; overlapping occurrences count
 and strings are judged on the input.
 
 ``repeats`` routes all suffixes whose first ``WIDTH`` bytes may occur again to
-one task by a sampled gram within them. There they are sorted a bucket at a
+one task by a sampled gram within them. There they are ranked a bucket at a
 time: a bucket holds the suffixes that start at one distance from that gram
-(only those can be equal). Sorting a bucket compares at most seven bytes up to
-the next position of the cover sample and as many at the end; the long tie in
-between is settled by the ranks of the cover sample (every eighth position
-from the gram), which are computed beforehand by doubling and cut off at the
-tie's length. A block of contexts has bounded size, and only one bucket of it
-is sorted at a time.
+(only those can be equal). A suffix's rank in its bucket is the pair of the
+cover sample's rank (every eighth position from the gram, computed beforehand
+by doubling and cut off at the tie's length) and of the bytes on either side
+of it. The ranks tell equal suffixes from different ones, which is all that
+is needed; they are not the order of the suffixes. A block of contexts has
+bounded size, and only one bucket of it is ranked at a time; a gram with more
+than ``max_group`` occurrences goes window by window through a 128-bit digest.
 
 Distances are measured from the gram, so all suffixes of a bucket have the
 same distance to the sample and one residue is cover enough.
