@@ -123,6 +123,11 @@ def top_scorers(star, k: int = 10, season_id: int | None = None) -> DataFrame:
         fp = fp.join(fx, "Fixture_ID", "left_semi")
     goals = fp.groupBy("Player_ID").agg(F.sum("Goals_Scored").alias("total_goals")) \
         .where(F.col("total_goals").isNotNull())
+    return top_scorers_of(goals, star, k)
+
+
+def top_scorers_of(goals: DataFrame, star, k: int = 10) -> DataFrame:
+    """R2 from ``total_goals`` per Player_ID."""
     players = star.dim_players.select("Player_ID", "Player_Name")
     return (goals.join(players, "Player_ID")
             .orderBy(F.col("total_goals").desc_nulls_last(), F.col("Player_ID").asc())
@@ -242,6 +247,11 @@ def consistent_players(star, min_minutes: int = 60, min_matches: int = 10, k: in
                   .groupBy(*_player_keys(by_team))
                   .agg(F.count("Fixture_ID").alias("Matches_Played"),
                        F.sum("Rating").alias("_rating_sum"), F.count("Rating").alias("_rating_n")))
+    return consistent_players_of(per_player, star, min_matches, k, fanout)
+
+
+def consistent_players_of(per_player: DataFrame, star, min_matches: int = 10, k: int = 10, fanout: bool = False) -> DataFrame:
+    """R4 from Matches_Played, _rating_sum and _rating_n of regular starters per player (and team)."""
     out = (_with_team(per_player, star, fanout, min_matches, ["_rating_sum", "_rating_n"])
            .withColumn("Avg_Rating", round_avg(F.col("_rating_sum"), F.col("_rating_n"))))
     return _top(out, "Avg_Rating", k, "Player_ID",
@@ -261,6 +271,11 @@ def impactful_players(star, min_matches: int = 10, k: int = 10,
                        F.sum(g).alias("Total_Goals"), F.sum(a).alias("Total_Assists"),
                        F.sum(contrib).alias("Goal_Contributions"),
                        F.count(contrib).alias("_contrib_n")))
+    return impactful_players_of(per_player, star, min_matches, k, fanout)
+
+
+def impactful_players_of(per_player: DataFrame, star, min_matches: int = 10, k: int = 10, fanout: bool = False) -> DataFrame:
+    """R5 from Matches_Played, the three totals and _contrib_n per player (and team)."""
     out = (_with_team(per_player, star, fanout, min_matches,
                       ["Total_Goals", "Total_Assists", "Goal_Contributions", "_contrib_n"])
            .withColumn("Avg_Goal_Contributions",
@@ -279,6 +294,11 @@ def best_goalkeepers(star, min_matches: int = 10, k: int = 10, fanout: bool = Fa
                        F.sum("Saves").alias("Total_Saves"),
                        F.sum("Goals_Conceded").alias("Goals_Allowed"),
                        F.sum(F.col("Saves") + F.col("Goals_Conceded")).alias("_faced")))
+    return best_goalkeepers_of(per_player, star, min_matches, k, fanout)
+
+
+def best_goalkeepers_of(per_player: DataFrame, star, min_matches: int = 10, k: int = 10, fanout: bool = False) -> DataFrame:
+    """R6 from Matches_Played, Total_Saves, Goals_Allowed and _faced of goalkeepers per player (and team)."""
     out = (_with_team(per_player, star, fanout, min_matches, ["Total_Saves", "Goals_Allowed", "_faced"])
            .withColumn("Save_Percentage",
                        round_ratio(F.col("Total_Saves"), F.col("_faced"), scale=100)))

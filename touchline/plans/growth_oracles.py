@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from touchline.plans.json_oracles import flatten_team_stats_sql
-from touchline.plans.oracles import AGGRESSIVE_TEAMS, home_away_sql, ratio_sql, standings_sql, with_proxy
+from touchline.plans.oracles import (AGGRESSIVE_TEAMS, BEST_GOALKEEPERS, CONSISTENT_PLAYERS, IMPACTFUL_PLAYERS, TOP_SCORERS,
+                                     home_away_sql, ratio_sql, standings_sql, with_proxy)
 
 PENDING_BITMAP = with_proxy("""
 SELECT Fixture_ID FROM dim_fixtures f
@@ -79,6 +80,10 @@ def growth_oracles() -> dict[str, str]:
         "delta_standings": standings_sql(per_league=True),
         "delta_home_away": home_away_sql(),
         "delta_aggressive_teams": AGGRESSIVE_TEAMS,
+        "delta_top_scorers": TOP_SCORERS,
+        "delta_consistent_players": CONSISTENT_PLAYERS,
+        "delta_impactful_players": IMPACTFUL_PLAYERS,
+        "delta_best_goalkeepers": BEST_GOALKEEPERS,
         "season_refreshed_marts": home_away_sql(),
         "bucketed_standings": standings_sql(per_league=True, json_star=True),
         "bucketed_home_away": home_away_sql(json_star=True),

@@ -45,7 +45,31 @@ def _corrected_sums(spark: SparkSession, star: ProxyStar) -> DataFrame:
     batch(0, f % 4 != 0, f % 3 == 0, f % 3 == 0)
     batch(1, (f % 4 == 0) | (f % 6 == 0), never, f % 6 == 0)
     batch(2, (f % 3 == 0) | (f % 5 == 0), never, never)
-    return deltas.team_sums(spark, root)
+    return deltas.sums(spark, root)
+
+
+def _corrected_player_sums(spark: SparkSession, star: ProxyStar) -> DataFrame:
+    """Player sums after three batches: every third fixture names wrong players and counts at first, some come late."""
+    root = scratch_path(spark, "player-deltas")
+    path = f"{root}/truth"
+    deltas.player_rows(star).write.parquet(path)
+    rows, f = spark.read.parquet(path), F.col("Fixture_ID")
+    wrong = f % 3 == 0
+    damaged = rows.withColumns({
+        "Player_ID": F.when(wrong & (f % 2 == 0), F.col("Player_ID") + 1).otherwise(F.col("Player_ID")),
+        "Rating": F.when(wrong, F.col("Rating") + 0.25).otherwise(F.col("Rating")),
+        "Goals_Scored": F.when(wrong, F.lit(None)).otherwise(F.col("Goals_Scored")),
+        "Position": F.when(wrong, F.lit("G")).otherwise(F.col("Position"))})
+    for epoch, sent in enumerate((damaged.where(f % 4 != 0), rows.where((f % 4 == 0) | (f % 6 == 0)), rows.where(wrong | (f % 5 == 0)))):
+        deltas.apply_epoch(sent, sent, root, epoch, mart=deltas.PLAYER)
+    return deltas.sums(spark, root, mart=deltas.PLAYER)
+
+
+def _player_delta_mart(view):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star = ProxyStar(spark, sf_dir)
+        return view(_corrected_player_sums(spark, star), star)
+    return q
 
 
 def _delta_mart(view):
@@ -174,6 +198,10 @@ GROWTH_QUERIES = {
     "delta_standings": _delta_mart(deltas.standings),
     "delta_home_away": _delta_mart(deltas.home_away),
     "delta_aggressive_teams": _delta_mart(deltas.aggressive_teams),
+    "delta_top_scorers": _player_delta_mart(deltas.top_scorers),
+    "delta_consistent_players": _player_delta_mart(deltas.consistent_players),
+    "delta_impactful_players": _player_delta_mart(deltas.impactful_players),
+    "delta_best_goalkeepers": _player_delta_mart(deltas.best_goalkeepers),
     "season_refreshed_marts": season_refreshed_marts,
     "bucketed_standings": lambda s, d: reports.standings(_bucketed(s, d)),
     "bucketed_home_away": lambda s, d: reports.home_away(_bucketed(s, d)),
