@@ -47,7 +47,7 @@ def plain_pipeline(rows, items):
         covered = {i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(3)}
         if len(w) < 50 or 100 * len(covered) > 50 * len(w):
             continue
-        bad = {x for x in t.split("\n") if x.strip() and len(lines[s, x.strip().lower()]) > max(20, 0.05 * hosts[s])}
+        bad = {x for x in t.split("\n") if x.strip() and len(lines[s, x.strip().lower()]) > max(20, min(0.02 * hosts[s], 1000))}
         lost = sum(len(x.split()) for x in t.split("\n") if x in bad)
         if lost and (lost > 0.7 * len(w) or len(w) - lost < 20):
             continue

@@ -30,6 +30,16 @@ def test_exact_copies_count_once(documents):
     assert all(r.kept and r.n_removed_words == 0 for r in Q.judge(df).collect())
 
 
+def test_limits_are_exclusive_and_stop_rising_with_the_host(documents):
+    df = documents([(i, good(i) + "\nat the limit" * (i < 10) + "\nabove it" * (i < 11), "a") for i in range(100)])
+    lost = lambda **k: {r.n_removed_words for r in Q.judge(df, Q.LineLimits(**k)).collect()}
+    assert lost(max_docs=10, max_share=0.0) == {0, 2}
+    assert lost(max_docs=3, max_share=0.10) == {0, 2}
+    assert lost(max_docs=3, max_share=0.50) == {0}
+    assert lost(max_docs=3, max_share=0.50, always=10) == {0, 2}
+    assert lost(max_docs=3, max_share=0.50, always=9) == {0, 2, 5}
+
+
 def test_counts_and_odd_rows(documents):
     df = documents([*ODD, (50, "a b c a b c"), (51, "x\n\nx\n \ny#*"), (52, "a a a a")], CLASHING)
     rows = Q.judge(df).collect()

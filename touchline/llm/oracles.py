@@ -69,7 +69,7 @@ often AS (
 lost AS (
   SELECT rid, sum(len(string_split(ln.norm, ' '))) AS n
   FROM ln JOIN often ON ln.source IS NOT DISTINCT FROM often.source AND ln.norm = often.norm
-  WHERE n_docs > 20 AND n_docs > 0.05 * host_docs GROUP BY rid),
+  WHERE n_docs > 20 AND (n_docs > 0.02 * host_docs OR n_docs > 1000) GROUP BY rid),
 b AS (
   SELECT d.doc_id, len(ws)::BIGINT AS n_words,
          list_sum(list_transform(ws, lambda x: length(x)))::BIGINT AS wc,

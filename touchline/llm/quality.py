@@ -7,7 +7,8 @@ documents of the same host (``source``) it occurs, removes lines above the
 limits, and rejects documents that lose too much.
 
 Limits: a line is removed if it occurs in more than ``max_docs`` distinct
-documents of its host and in more than ``max_share`` of them. A document is
+documents of its host and either in more than ``max_share`` of them or in more
+than ``always`` of them, so the limit stops rising with the host. A document is
 depleted, and so rejected, if removal takes more than ``max_lost`` of its
 words or leaves fewer than ``min_left`` of a text that lost any.
 
@@ -42,7 +43,8 @@ SYMBOLS = r"[#*$%&|<>]"
 @dataclass(frozen=True)
 class LineLimits:
     max_docs: int = 20
-    max_share: float = 0.05
+    max_share: float = 0.02
+    always: int = 1000
     max_lost: float = 0.7
     min_left: int = 20
 
@@ -120,7 +122,7 @@ def removed_lines(documents: DataFrame, limits: LineLimits = LineLimits()) -> Da
     counted = lines.groupBy("source", "line").agg(F.count(F.lit(1)).alias("n_docs"))
     often = (counted.where(F.col("n_docs") > limits.max_docs)
              .join(hosts, counted["source"].eqNullSafe(hosts["source"]))
-             .where(F.col("n_docs") > limits.max_share * F.col("host_docs"))
+             .where((F.col("n_docs") > limits.max_share * F.col("host_docs")) | (F.col("n_docs") > limits.always))
              .select(counted["source"].alias("f_source"), F.col("line").alias("f_line")))
     kept = lines.join(often, lines["source"].eqNullSafe(F.col("f_source"))
                       & (lines["line"] == F.col("f_line")))
