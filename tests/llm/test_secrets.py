@@ -55,6 +55,28 @@ def test_letters_alone_are_measured_and_names_are_not():
     assert found("qXvTzKpWmRjLbNcH/GdYsFqZk") and found("-".join(["key", "xqzvkjwpbtmrnhgcdlsf" * 2]))
 
 
+def test_grouped_letters_are_measured_without_their_separators():
+    rng = random.Random(6)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    for alphabet, groups, size, mark in ((upper, 5, 5, "-"), (lower, 4, 8, "-"), (upper, 2, 16, "/"), (lower, 5, 5, "_")):
+        runs = [mark.join("".join(rng.choices(alphabet, k=size)) for _ in range(groups)) for _ in range(200)]
+        hits = sum(any(k == "random" for k, *_ in S.find_spans(f"see {x} ok")) for x in runs)
+        assert hits >= 180, (alphabet, groups, size)
+    for fine in ("the_quick_brown_fox_jumps_over", "MAX-RETRY-COUNT-PER-REQUEST", "src/main/java/org/example/Helper",
+                 "state-of-the-art-methods", "--include-untracked-files--"):
+        assert not [x for x in S.find_spans(f"a {fine} b") if x[0] == "random"], fine
+
+
+def test_runs_that_touch_a_base_span_are_left_to_it():
+    key = "qXvTzKpWmRjLbNcHGdYsFqZkPt"
+    text = " ".join(f"token={key}{i} {key}{i}" for i in range(300))
+    spans = S.find_spans(text)
+    base = {(s, e) for k, s, e in spans if k == "assign"}
+    free = [(s, e) for k, s, e in spans if k == "random"]
+    assert len(base) == 300 and len(free) == 300
+    assert all(text[s - 1] == " " for s, _ in free)
+
+
 def test_query_on_real_rows(spark):
     df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     text = {r.doc_id: r.text for r in df.collect()}

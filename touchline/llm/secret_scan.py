@@ -76,15 +76,21 @@ def n_tokens(run: str, path: str = VOCABULARY) -> int:
     return sum(len(encode(run[i:i + PIECE])) for i in range(0, len(run), PIECE))
 
 
-def is_identifier(run: str) -> bool:
+def _word_tokens(word: str, path: str) -> int:
+    """Tokens of a word of a name: as it stands, in lower case or after a space, whichever is least."""
+    return min(n_tokens(w, path) for w in (word, word.lower(), " " + word, " " + word.lower()))
+
+
+def is_identifier(run: str, max_ratio: float = MAX_RATIO, path: str = VOCABULARY) -> bool:
     """Digests, UUIDs, numbers and plain names: never reported by the method."""
     if _UUID.fullmatch(run) or _NUMBER.fullmatch(run):
         return True
     if _HEX_ONLY.fullmatch(run):
         return len(run.removeprefix("0x")) in DIGEST_LENGTHS
-    # The vocabulary spends a token on each separator, so the ratio says little of joined words.
-    words = _SEPARATORS.split(run)
-    return len(words) > 1 and all(len(w) < 20 and _WORD.fullmatch(w) for w in words)
+    # The vocabulary spends a token on each separator, so joined words are measured without them.
+    words = [w for w in _SEPARATORS.split(run) if w]
+    return (len(words) > 1 and all(len(w) < 20 and _WORD.fullmatch(w) for w in words)
+            and sum(map(len, words)) >= max_ratio * sum(_word_tokens(w, path) for w in words))
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -97,17 +103,21 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def random_spans(text: str, base: list, max_ratio: float, path: str) -> list[tuple[str, int, int]]:
     out = []
-    taken = sorted((s, e) for _, s, e in base)
+    taken = sorted(base, key=lambda x: x[1])
+    at, reach = 0, 0   # spans that start before the run's end, and how far they go
     for m in _RUN.finditer(text):
         s, e = m.span()
-        if any(a < e and s < b for a, b in taken):
+        while at < len(taken) and taken[at][1] < e:
+            reach = max(reach, taken[at][2])
+            at += 1
+        if reach > s:
             continue
         run = m[0].strip("=/-_+")
-        if len(run) < 20 or is_identifier(run):
+        if len(run) < 20 or is_identifier(run, max_ratio, path):
             continue
         if len(run) < max_ratio * n_tokens(run, path):
-            at = s + m[0].index(run)
-            out.append(("random", at, at + len(run)))
+            start = s + m[0].index(run)
+            out.append(("random", start, start + len(run)))
     return out
 
 
