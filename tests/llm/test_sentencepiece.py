@@ -1,5 +1,7 @@
 import random
+import tracemalloc
 
+import numpy as np
 import sentencepiece
 
 from conftest import SF_SMALL
@@ -19,14 +21,45 @@ def test_ids_equal_the_library_on_random_texts():
 
 
 def test_window_is_bounded_and_committed_early():
-    codec = C.load_codec()
-    text = "thequickbrownfox" * 500
-    pieces, seen = [], 0
-    for piece in codec.boundaries(text):
+    codec, read = C.load_codec(), 0
+
+    def parts():
+        nonlocal read
+        for _ in range(2000):
+            read += 16
+            yield "thequickbrownfox"
+
+    seen = widest = 0
+    pieces = []
+    for piece in codec.boundaries(parts()):
+        widest = max(widest, read - seen)   # read and not yet committed
         pieces.append(piece)
         seen += len(piece)
-    assert "".join(pieces) == text
-    assert [codec.id[p] for p in pieces] == codec._ids(text)
+    assert "".join(pieces) == "thequickbrownfox" * 2000 and widest <= 16 * codec.max_len
+    ids = np.frombuffer(b"".join(codec.committed("thequickbrownfox" * 2000)), codec.dtype).tolist()
+    assert [codec.id[p] for p in pieces] == ids
+
+
+def test_texts_of_any_length_are_committed_in_blocks_of_flat_memory(monkeypatch):
+    codec, peaks = C.load_codec(), []
+    library = sentencepiece.SentencePieceProcessor(model_file=C.MODEL)
+    monkeypatch.setattr(C, "SLICE", 1 << 12)
+    monkeypatch.setattr(C, "STRETCH", 1 << 14)
+    unit = "the quick brown fox, 日本 " * 40 + "\n" + "x1y2z3" * 900 + "  \t"
+    list(codec.blocks([unit]))
+    for times in (20, 200):
+        text = unit * times
+        tracemalloc.start()
+        n = sum(last for _, last in codec.blocks(iter([text])))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert n == 1
+    assert peaks[1] < 1.3 * peaks[0] + 100_000
+    found = [block for block, _ in codec.blocks([unit * 20])]
+    assert len([b for b in found if b]) > 20
+    for text in (unit * 3, "\n" + unit, "x" * 9000, " " * 9000, "a" + " " * 9000 + "b", " \n" * 3000, "\u2581 a" * 3000,
+                 "word " * 5000, "x" * 4095 + " y", "x" * 4096, "x" * 4097 + "\n"):
+        assert codec.encode(text) == library.encode(text), text[:20]
 
 
 def test_unigram_finds_the_best_sum():

@@ -5,9 +5,10 @@ it keeps one backpointer, the last piece of the best segmentation of that
 prefix; a piece is at most ``max_len`` characters long, so only the last
 ``max_len`` boundaries can still be extended. Whenever all surviving
 backpointer paths meet in one boundary, everything before it is final: its
-ids are committed and the window is cut there. The search's own memory is
-bounded by the distance between such boundaries; a text, the list of its
-chunks and its ids are held whole while it is encoded.
+ids are committed and the window is cut there. ``Codec.blocks`` gives the
+committed ids of a text block by block, out of slices of the text, so the
+search's memory is bounded whatever the length of the text (tested); a row's
+text and its ids are values of Spark's rows and are held whole there.
 
 Two kinds of model decide which last piece is best:
 
@@ -19,13 +20,14 @@ Two kinds of model decide which last piece is best:
              merging the whole text.
 
 If no piece holds the space mark after another character, all paths meet at
-the start of every run of space marks. Those boundaries are known before the
-search, so a text is cut there first, and what lies between is a window of
-its own. New windows of at most ``SHORT`` characters advance side by side, one
-boundary at a time, over a trie of the pieces, and are committed whole at
-their end; only longer ones (runs without a space) are walked with the moving
-window above. Windows recur, so each worker remembers the ids of a bounded
-number of them. In the given prose nearly all windows are short.
+the start of every run of space marks. These boundaries need no look at the
+backpointers: the window is cut there, slice by slice, and what lies between
+two of them is a window of its own. New windows of at most ``SHORT``
+characters advance side by side, one boundary at a time, over a trie of the
+pieces, and are committed at their end; longer ones (runs without a space)
+are walked with the moving window above, which looks for the boundary where
+all paths meet. Windows recur, so each worker remembers the ids of a bounded
+number of them.
 
 Text is used as it is (identity normalisation) with one space mark put in
 front. Characters without a piece become byte pieces, or the unknown id.
@@ -40,8 +42,9 @@ Rows, repeated or not, are independent; other columns pass through.
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -56,9 +59,12 @@ MEMORY = 240_000
 PAIRS = 100_000
 #: Slots of the table of piece pairs (a power of two).
 SLOTS = 1 << 20
-#: Longest chunk searched side by side, and characters of text taken at a time.
+#: Longest chunk searched side by side.
 SHORT = 48
+#: Characters of a text cut at a time, of slices held at a time, and of a part given to the moving window.
+SLICE = 1 << 16
 STRETCH = 1 << 20
+PART = 1 << 12
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 
 
@@ -83,6 +89,8 @@ class Codec:
         # Control characters without a piece stand alone.
         lone = "".join(c for c in "\n\r\t" if not any(c in p for p in self.id))
         self.chunk = re.compile((f"[{lone}]|" if lone else "") + f"{MARK}*[^{MARK}{lone}]+|{MARK}+")
+        #: The same over a text in which spaces are not marked yet.
+        self.raw_chunk = re.compile((f"[{lone}]|" if lone else "") + f"[ {MARK}]*[^ {MARK}{lone}]+|[ {MARK}]+")
         self.floor = min(self.score.values(), default=0.0) - 10.0
         self.spines: dict[str, tuple[list[str], list[str]] | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -153,54 +161,66 @@ class Codec:
             else:
                 j += 1
 
-    def boundaries(self, text: str) -> Iterator[str]:
-        """Committed pieces in order, as soon as they are certain."""
+    def boundaries(self, parts: str | Iterable[str]) -> Iterator[str]:
+        """Committed pieces in order, as soon as they are certain.
+
+        The text may come in parts; held are the window (the text since the
+        last committed boundary) and one part.
+        """
+        if isinstance(parts, str):
+            parts = [parts[i:i + PART] for i in range(0, len(parts), PART)]
         back: list[int] = [0]        # start of the last piece, by boundary - base
         total: list[float] = [0.0]   # unigram score
-        base, bpe, lengths, score = 0, self.kind == "bpe", self.lengths, self.score
+        bpe, lengths, score = self.kind == "bpe", self.lengths, self.score
+        base, end, window = 0, 0, ""
         pairs = self.pairs
         last: list[str] = [""]
-        for end in range(1, len(text) + 1):
-            best, start = None, end - 1
-            for n in lengths.get(text[end - 1], ()):
-                s = end - n
-                if s < base:
-                    continue
-                piece = text[s:end]
-                if piece not in score:
-                    continue
-                if bpe:
-                    key = (last[s - base], piece)
-                    fits = pairs.get(key)
-                    if fits is None:
-                        if len(pairs) >= PAIRS:
-                            pairs.clear()
-                        fits = pairs[key] = self._follows(*key)
-                    if fits:
-                        start = s
-                        break
-                else:
-                    value = total[s - base] + score[piece]
-                    if best is None or value > best:
-                        best, start = value, s
-            if not bpe:
-                if text[end - 1] not in score:
-                    value = total[end - 1 - base] + self.floor
-                    if best is None or value > best:
-                        best, start = value, end - 1
-                total.append(best)
-            back.append(start)
-            last.append(text[start:end])
-            if end - base >= 8 * self.max_len:
-                meet = self._meet(back, base, end)
-                if meet > base:
-                    yield from self._path(last, base, meet)
-                    cut = meet - base
-                    del back[:cut], last[:cut]
-                    if not bpe:
-                        del total[:cut]
-                    base = meet
-        yield from self._path(last, base, len(text))
+        for part in parts:
+            window += part
+            while end - base < len(window):
+                end += 1
+                letter = window[end - base - 1]
+                best, start = None, end - 1
+                for n in lengths.get(letter, ()):
+                    s = end - n
+                    if s < base:
+                        continue
+                    piece = window[s - base:end - base]
+                    if piece not in score:
+                        continue
+                    if bpe:
+                        key = (last[s - base], piece)
+                        fits = pairs.get(key)
+                        if fits is None:
+                            if len(pairs) >= PAIRS:
+                                pairs.clear()
+                            fits = pairs[key] = self._follows(*key)
+                        if fits:
+                            start = s
+                            break
+                    else:
+                        value = total[s - base] + score[piece]
+                        if best is None or value > best:
+                            best, start = value, s
+                if not bpe:
+                    if letter not in score:
+                        value = total[end - 1 - base] + self.floor
+                        if best is None or value > best:
+                            best, start = value, end - 1
+                    total.append(best)
+                back.append(start)
+                last.append(window[start - base:end - base])
+                if end - base >= 8 * self.max_len:
+                    meet = self._meet(back, base, end)
+                    if meet > base:
+                        yield from self._path(last, base, meet)
+                        cut = meet - base
+                        window = window[cut:]
+                        del back[:cut], last[:cut]
+                        if not bpe:
+                            del total[:cut]
+                        base = meet
+        yield from self._path(last, base, end)
 
     def _meet(self, back: list[int], base: int, end: int) -> int:
         """The last boundary on every surviving path."""
@@ -221,17 +241,26 @@ class Codec:
             end -= len(last[end - base])
         return out[::-1]
 
-    def _ids(self, chunk: str) -> list[int]:
+    def committed(self, parts: str | Iterable[str]) -> Iterator[bytes]:
+        """Packed ids of a text by the moving window, a block of committed ones at a time."""
         out: list[int] = []
-        for piece in self.boundaries(chunk):
+        previous = None
+        for piece in self.boundaries(parts):
             i = self.id.get(piece)
             if i is not None:
                 out.append(i)
             elif self.byte_id:
                 out += [self.byte_id[b] for b in piece.encode("utf-8")]
-            elif not out or out[-1] != self.unk_id:
+            elif previous != self.unk_id:
                 out.append(self.unk_id)
-        return out
+            previous = out[-1] if out else previous
+            if len(out) >= PART:
+                yield self._packed(out)
+                out = []
+        yield self._packed(out)
+
+    def _walked(self, chunk: str) -> bytes:
+        return b"".join(self.committed(chunk))
 
     def _trie(self) -> None:
         """Edges (node, character) -> node as sorted keys; the piece that ends at each node."""
@@ -320,11 +349,11 @@ class Codec:
             step[row] = piece
             steps.append(step)
         if not steps:
-            return [self._packed(self._ids(c)) for c in chunks]
+            return [self._walked(c) for c in chunks]
         table = np.stack(steps[::-1], axis=1)
         flat = table[table >= 0].astype(self.dtype).tobytes()
         ends = (np.cumsum((table >= 0).sum(axis=1)) * self.dtype.itemsize).tolist()
-        return [self._packed(self._ids(c)) if other else flat[a:z]
+        return [self._walked(c) if other else flat[a:z]
                 for c, a, z, other in zip(chunks, [0, *ends], ends, lost.tolist(), strict=False)]
 
     def _packed(self, ids: list[int]) -> bytes:
@@ -343,40 +372,84 @@ class Codec:
                 elif len(c) <= SHORT:
                     new.append(c)
         if self.kind != "bpe":
-            self.memory.update((c, self._packed(self._ids(c))) for c in new)
+            self.memory.update((c, self._walked(c)) for c in new)
             return
         new.sort(key=len)
         for i in range(0, len(new), 20_000):
             part = new[i:i + 20_000]
             self.memory.update(zip(part, self._side_by_side(part), strict=True))
 
-    def encode_all(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """Ids of each text, in order; texts are taken a bounded stretch at a time."""
+    def _slices(self, text: str | None) -> Iterator[tuple[list[str], Iterator[str] | None, bool]]:
+        """A text in slices of about ``SLICE`` characters: (chunks, run, whether the text ends).
+
+        A slice ends where all paths meet: its last chunk, which may go on,
+        opens the next one. A chunk longer than a slice is a run, given in
+        parts for the moving window.
+        """
+        text = text or ""
+        at, lead = 0, MARK
+        while at < len(text):
+            if not self.chunked:
+                yield [], itertools.chain([lead], self._marked(text, 0, len(text))), False
+                break
+            chunks = self.chunk.findall(lead + text[at:at + SLICE].replace(" ", MARK))
+            if at + SLICE >= len(text):
+                yield chunks, None, False
+                break
+            open_chunk = chunks.pop()
+            if chunks:
+                yield chunks, None, False
+                at += SLICE - len(open_chunk)
+            else:
+                end = self.raw_chunk.match(text, at).end()
+                yield [], itertools.chain([lead], self._marked(text, at, end)), False
+                at = end
+            lead = ""
+        yield [], None, True
+
+    @staticmethod
+    def _marked(text: str, at: int, end: int) -> Iterator[str]:
+        return (text[i:min(i + PART, end)].replace(" ", MARK) for i in range(at, end, PART))
+
+    def blocks(self, texts: Iterable[str | None]) -> Iterator[tuple[bytes, bool]]:
+        """Packed ids of the texts in order, in committed blocks; True when a text is complete.
+
+        Held are slices of at most ``STRETCH`` characters and one more,
+        whatever the length of a text.
+        """
         held, size = [], 0
         for text in texts:
-            held.append(text)
-            size += len(text or "")
-            if size >= STRETCH:
-                yield from self._encode_held(held)
-                held, size = [], 0
-        yield from self._encode_held(held)
-
-    def _encode_held(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        if not self.chunked:
-            for t in texts:
-                yield np.array(self._ids(MARK + t.replace(" ", MARK)) if t else [], np.int32)
-            return
-        cut = [self.chunk.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+            for piece in self._slices(text):
+                held.append(piece)
+                size += sum(map(len, piece[0]))
+                if size >= STRETCH:
+                    yield from self._commit(held)
+                    held, size = [], 0
+        yield from self._commit(held)
+
+    def _commit(self, held: list) -> Iterator[tuple[bytes, bool]]:
         distinct = set()
-        distinct.update(*cut)
+        distinct.update(*[chunks for chunks, _, _ in held])
         self.learn(distinct)
         known = self.memory
-        for chunks in cut:
+        for chunks, run, last in held:
+            if run is not None:
+                yield from ((block, False) for block in self.committed(run))
+                continue
             try:
                 raw = b"".join([known[c] for c in chunks])
             except KeyError:  # a chunk too long to be remembered
-                raw = b"".join([known[c] if c in known else self._packed(self._ids(c)) for c in chunks])
-            yield np.frombuffer(raw, self.dtype).astype(np.int32)
+                raw = b"".join([known[c] if c in known else self._walked(c) for c in chunks])
+            yield raw, last
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text, in order."""
+        own = []
+        for block, last in self.blocks(texts):
+            own.append(block)
+            if last:
+                yield np.frombuffer(b"".join(own), self.dtype).astype(np.int32)
+                own = []
 
     def encode(self, text: str | None) -> list[int]:
         return next(self.encode_all([text])).tolist()
