@@ -1,4 +1,5 @@
 import random
+import weakref
 
 from conftest import SF_SMALL
 from touchline.llm import decontam as D
@@ -61,10 +62,34 @@ def test_scores_do_not_depend_on_shards_or_copies(spark):
     assert rows(bench, shard_items=7) == want and rows(bench, shard_chars=500) == want
     copies = bench.unionAll(spark.createDataFrame(items[:1] * 25, bench.schema))
     assert rows(copies) == want and rows(copies, shard_items=7) == want
-    sizes = [len(x.ids) for x in D._indexes(copies, D.Settings(shard_items=7))]
+    sizes = [len(x.ids) for x in D._indexes(*D._dealt(copies, D.Settings(shard_items=7)), D.Settings())]
     assert sum(sizes) == 30 and max(sizes) < 20
 
 
+def test_one_shard_is_held_at_a_time(spark, documents, monkeypatch):
+    live, most = weakref.WeakSet(), []
+
+    build = D.Index.__init__
+
+    def watched(self, *args):
+        most.append(len(live))
+        live.add(self)
+        build(self, *args)
+
+    items = [(i, f"item {i} holds the words a{i} b{i} c{i} d{i} e{i}. and its answer is f{i} g{i}") for i in range(30)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = documents([*ODD, *[(100 + i, f"before {t} after") for i, t in items[::3]], (100, "clean here"), (70, "clean too")], CLASHING)
+    want = {(r.doc_id, r.item_id) for r in D.contaminated(df, bench).collect()}
+    left = sorted(map(str, D.clean_documents(df, bench).collect()))
+    monkeypatch.setattr(D.Index, "__init__", watched)
+    sharded = D.Settings(shard_items=7)
+    assert {(r.doc_id, r.item_id) for r in D.contaminated(df, bench, sharded).collect()} == want
+    assert len(want) == 10 and len(most) == 5 and max(most) == 0
+    clean = D.clean_documents(df, bench, sharded)
+    assert clean.columns == df.columns and sorted(map(str, clean.collect())) == left
+    assert len(most) == 10 and max(most) == 0
+
+
 def test_items_without_an_id_count(spark, documents):
     q = "who was the first to cross the wide northern sea alone? it was a baker from the old town"
     bench = spark.createDataFrame([(None, q), (2**60 + 1, q), (None, "a quite other item of eight words here")],

@@ -22,7 +22,9 @@ question the rest (the whole text if it has one sentence).
 
 The index is broadcast in shards of about ``shard_items`` items and
 ``shard_chars`` characters (or one item, if that is longer), dealt by a hash,
-each a pass over the corpus, so its size is bounded whatever the benchmark's.
+each a pass over the corpus. Shards are built, sent out, searched and dropped
+one after the other, so what the driver and a worker hold is bounded whatever
+the benchmark's size.
 Number of items, document frequencies, mean and greatest length are those of
 the whole benchmark in every shard, so scores do not depend on the shards;
 a shard's driver work reads the frequencies of its own words only.
@@ -40,15 +42,16 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import written
+from touchline.llm.common import text_digest, whole_row, written
 
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -230,16 +233,19 @@ def _word_sets(items: DataFrame) -> DataFrame:
     return items.select(tokens("text").alias("t")).select("t.*").where(F.col("length") > 0)
 
 
-def _indexes(benchmark: DataFrame, settings: Settings) -> Iterator[Index]:
-    """Indexes of the distinct items in bounded shards, dealt by a hash."""
+def _dealt(benchmark: DataFrame, settings: Settings) -> tuple[DataFrame, int]:
+    """The distinct items, and in how many bounded shards they are indexed."""
     items = benchmark.select(F.col("item_id").cast("long"), "text").where(F.col("text").isNotNull()).distinct()
     size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
-    n = max(-(-size["n"] // settings.shard_items), -(-size["chars"] // settings.shard_chars)) if size["n"] else 0
-    by_id = lambda rows: sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-    if n == 1:
-        yield Index(by_id((r[0], r[1]) for r in items.collect()), settings)
-    if n < 2:
-        return
+    return items, max(-(-size["n"] // settings.shard_items), -(-size["chars"] // settings.shard_chars)) if size["n"] else 0
+
+
+def _by_id(rows) -> list[tuple[int | None, str]]:
+    return sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
+def _indexes(items: DataFrame, n: int, settings: Settings) -> Iterator[Index]:
+    """Indexes of the items in ``n`` shards, dealt by a hash; each is built when it is asked for."""
     items = written(items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))), "items")
     sets = _word_sets(items)
     size = sets.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), F.max("length").alias("longest")).first()
@@ -247,21 +253,43 @@ def _indexes(benchmark: DataFrame, settings: Settings) -> Iterator[Index]:
     for k in range(n):
         part = items.where(F.col("shard") == k)
         own = _word_sets(part).select(F.explode("ws").alias("w")).distinct()
-        yield Index(by_id((r[0], r[1]) for r in part.select("item_id", "text").collect()), settings,
+        yield Index(_by_id(part.select("item_id", "text").collect()), settings,
                     Totals(size["n"], size["mean"], size["longest"],
                            {r[0]: r[1] for r in held.join(own, "w").select("w", "c").collect()}))
 
 
+def _over_shards(documents: DataFrame, benchmark: DataFrame, settings: Settings,
+                 search: Callable[[Broadcast], DataFrame]) -> DataFrame | None:
+    """The results of ``search`` over a broadcast index of each shard, together; None without items.
+
+    One shard stays in the plan. Of several, one at a time is built and sent
+    out; its result is written, and its index leaves the driver and the
+    workers before the next one is built.
+    """
+    context = documents.sparkSession.sparkContext
+    items, n = _dealt(benchmark, settings)
+    if n < 2:
+        return search(context.broadcast(Index(_by_id(items.collect()), settings))) if n else None
+    out = None
+    shards = _indexes(items, n, settings)
+    for _ in range(n):
+        index = context.broadcast(next(shards))
+        part = written(search(index), "hits")
+        index.destroy()
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
+#: Documents' ids go through Python as text: beside a NULL, pandas would round numbers.
+HITS = "doc_id string, item_id long, score double, question_overlap double, answer_overlap double"
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap: one row per verified pair."""
-    spark = documents.sparkSession
-    # Documents' ids go through Python as text: beside a NULL, pandas would round numbers.
-    schema = "doc_id string, item_id long, score double, question_overlap double, answer_overlap double"
-    out = None
-    for part in _indexes(benchmark, settings):
-        index = spark.sparkContext.broadcast(part)
+    narrow = documents.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text")
 
-        def search(frames: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
+    def hits(index: Broadcast) -> DataFrame:
+        def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 rows = [(d, *h) for d, t in zip(frame["doc_id"], frame["text"], strict=True)
                         for h in index.value.hits(t)]
@@ -269,16 +297,16 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, settings: Settings
                                    dtype=object)  # so that a NULL beside it does not round an id
                 yield got.astype({"item_id": "Int64", "score": float, "question_overlap": float,
                                   "answer_overlap": float})
-        part = documents.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text").mapInPandas(search, schema)
-        out = part if out is None else out.unionAll(part)
+        return narrow.mapInPandas(search, HITS)
+    out = _over_shards(documents, benchmark, settings, hits)
     if out is None:
-        out = spark.createDataFrame([], schema)
+        out = documents.sparkSession.createDataFrame([], HITS)
     return out.withColumn("doc_id", F.col("doc_id").cast("long")).groupBy("doc_id", "item_id").agg(
         F.round(F.max("score"), 6).alias("score"), F.max("question_overlap").alias("question_overlap"),
         F.max("answer_overlap").alias("answer_overlap"))
 
 
-def _clean(index) -> Column:
+def _clean(index: Broadcast) -> Column:
     """Whether a text holds no item of a broadcast index."""
     @F.pandas_udf("boolean")
     def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -288,8 +316,16 @@ def _clean(index) -> Column:
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Documents without a verified item; the input's columns."""
-    out = documents
-    for part in _indexes(benchmark, settings):
-        out = out.where(_clean(documents.sparkSession.sparkContext.broadcast(part)))
-    return out
+    """Documents without a verified item; the input's columns.
+
+    One shard is a filter. Several leave the digests of the texts that hold an
+    item, and documents meet these in an anti-join.
+    """
+    spark = documents.sparkSession
+    items, n = _dealt(benchmark, settings)
+    if n < 2:
+        return documents.where(_clean(spark.sparkContext.broadcast(Index(_by_id(items.collect()), settings)))) if n else documents
+    found = _over_shards(documents, benchmark, settings, lambda index: documents.where(~_clean(index)).select(
+        text_digest(F.col("text")).alias("found")).distinct())
+    own = documents.select(whole_row(documents).alias("doc"), text_digest(F.col("text")).alias("own"))
+    return own.join(found, F.col("own") == F.col("found"), "left_anti").select("doc.*")
