@@ -62,7 +62,7 @@ def fixture_rows():
                          (7, rows[7][1]), (300, "a" * 900), (301, "ab" * 150), (302, "b" * 200)]
 
 
-@pytest.mark.parametrize("max_group", [repeats.MAX_GROUP, 3])
+@pytest.mark.parametrize("max_group", [repeats.MAX_GROUP, 20, 3, 1])
 def test_against_brute_force(documents, max_group):
     rows = fixture_rows()
     df = documents(rows, CLASHING)
@@ -98,6 +98,46 @@ def test_every_window_has_an_anchor_that_depends_on_its_content_alone():
     assert all(picked[200 + k] == picked[1000 + k] for k in range(350))
 
 
+@pytest.mark.parametrize("scheme", [substring.SCHEME, suffixarray.SCHEME])
+def test_longer_keys_depend_on_the_window_alone_and_leave_none_out(scheme):
+    span, longest = scheme.width - scheme.gram, []
+    for step in scheme.steps:
+        sides = {}
+        for place in range(span + 1):
+            for n in {1, 2, step, place + 1} & set(range(1, place + 2)):
+                runs = list(repeats.cells(place, n, span, step))
+                assert [k for a, z, _, _ in runs for k in range(a, z + 1)] == list(range(n))
+                for a, z, left, right in runs:
+                    for k in range(a, z + 1):
+                        at = place - k
+                        assert left <= at and at + scheme.gram + right <= scheme.width  # inside the window
+                        assert sides.setdefault(at, (left, right)) == (left, right)     # by its place alone
+        longest.append(min(map(sum, sides.values())))
+    assert 0 < longest[0] < longest[1] < span
+
+
+def test_large_groups_are_dealt_by_longer_keys(spark, documents, monkeypatch):
+    """One phrase in every row: no group handed to a task is above the bound, and nothing is lost."""
+    words = [f"w{k}" for k in range(400)]
+    rng, phrase = random.Random(8), "the same eight words stand in every text"
+    passage = " ".join(rng.choices(words, k=60))
+    rows = [(k, " ".join(rng.choices(words, k=45)) + f" {phrase} " + " ".join(rng.choices(words, k=45))
+             + (f" {passage}" if k % 3 == 0 else "")) for k in range(90)]
+    rows += [(100 + k, rows[k][1]) for k in range(0, 90, 9)]
+    sizes, real = [], repeats.matches
+
+    def watched(found, scheme):
+        sizes.append(found.groupBy("key").count().agg({"count": "max"}).first()[0] or 0)
+        return real(found, scheme)
+    monkeypatch.setattr(repeats, "matches", watched)
+    df = documents(rows)
+    got = sorted((tuple(r) for r in substring.digest(df, 8).collect()), key=str)
+    assert got == plain_words(rows) and len(sizes) > 1 and max(sizes) <= 8
+    del sizes[:]
+    got = sorted((tuple(r) for r in suffixarray.digest(df, 8).collect()), key=str)
+    assert got == plain_bytes(rows) and len(sizes) > 1 and max(sizes) <= 8
+
+
 def test_long_texts_are_cut_into_stretches(documents, monkeypatch):
     """Same result with stretches of a few windows (workers are in-process copies, so call directly)."""
     text = " ".join(f"w{k % 97}x{k % 31}" for k in range(4000)).encode()

@@ -13,19 +13,29 @@ Plan: (1) anchor rows are counted by gram hash, with map-side combine; (2)
 rows whose gram occurs once cannot match and go; (3) the rest are reduced to
 one row per distinct (gram, content), again with map-side combine, so copies
 collapse; (4) only those fetch their text, by one equi-join with the
-documents; (5) texts are dealt by gram hash, and each task matches the windows
+documents; (5) texts are dealt by a key, and each task matches the windows
 of whole groups, a bounded block at a time; (6) the matched runs join back to
 all anchor rows and are gathered per document.
 
-A gram with more than ``max_group`` occurrences is not dealt to one task: its
-windows are compared one by one through a 128-bit digest, aggregated with
-map-side combine. Nothing is capped either way.
+The key is a stretch of the window of variable length. It starts as the gram.
+Where more than ``max_group`` distinct texts share it, it is lengthened to the
+units around the gram that lie in the window, up to a multiple of the first of
+``Scheme.steps`` on either side; where that is still shared by too many, by
+the next, smaller step, which leaves fewer units of the window out. A run of
+windows is cut where the stretch changes. What is left after the last step is
+keyed by the whole window (its 128-bit digest), where a group is one class and
+needs no task of its own: it is aggregated with map-side combine. So no task
+holds more than ``max_group`` texts of a group and a block beside them, at any
+size of input, and nothing is capped. Texts of one gram are told apart by a
+64-bit hash of their content (step 3), which is not compared further; windows
+in a group are compared in full.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -40,7 +50,8 @@ MIX = np.uint64(0xBF58476D1CE4E5B9)
 #: Windows handled at once within one text.
 STRETCH = 1 << 20
 ROWS_PER_BLOCK = 16_384
-MAX_GROUP = 200_000
+#: Distinct texts that may share a key (some 8 KB each while they are matched).
+MAX_GROUP = 4_096
 #: Least (negative: greatest) id of a class without ids. No number that Python sees
 #: is ever NULL: pandas would make its column a float and round large ids.
 NONE = (1 << 63) - 1
@@ -59,8 +70,10 @@ class Scheme:
     cut: Callable
     #: frame of contexts -> (row, first window, last window, least doc) arrays
     match: Callable
-    #: stretch bytes, windows, width -> bytes of each window
-    windows: Callable
+    #: bytes of a stretch -> its units
+    again: Callable
+    #: steps by which keys are lengthened, from large to small
+    steps: tuple[int, ...]
     #: whether a window only counts against documents with a smaller id
     ordered: bool
 
@@ -153,7 +166,10 @@ def unpacked(blob: bytes) -> str:
     return zstandard.ZstdDecompressor().decompress(blob).decode("utf-8") if len(blob) else ""
 
 
-CONTEXT = "gram long, body long, n long, low long, high long, shape int, text binary"
+#: key: what the text is dealt by; at: its first window within the windows of (gram, body).
+CONTEXT = "key long, gram long, body long, at int, n long, low long, high long, shape int, text binary"
+
+NAMES = [c.split()[0] for c in CONTEXT.split(", ")]
 
 
 def contexts(classes: DataFrame, blobs: DataFrame, scheme: Scheme) -> DataFrame:
@@ -171,50 +187,83 @@ def contexts(classes: DataFrame, blobs: DataFrame, scheme: Scheme) -> DataFrame:
                 if key != (did, h):
                     key, units = (did, h), scheme.units(unpacked(blob))
                 text.append(scheme.cut(units, pos, pos + (shape >> 8) - 1 + scheme.width))
-            yield frame[["gram", "body", "n", "low", "high", "shape"]].assign(text=text)
+            yield frame[["gram", "body", "n", "low", "high", "shape"]].assign(key=frame["gram"], at=0, text=text)[NAMES]
     # The blob rides along with each row only inside a task.
     return wanted.mapInPandas(cut, CONTEXT)
 
 
+def cells(place: int, n: int, span: int, step: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first window, last window, units left, units right of the gram) of the runs of windows
+    with one key. place: of the gram in the first window. Depends on the gram's place in a window alone."""
+    def sides(k: int) -> tuple[int, int]:
+        return (place - k) // step * step, max(span - 1 - place + k, 0) // step * step
+    for (left, right), run in groupby(range(n), sides):
+        ks = list(run)
+        yield ks[0], ks[-1], left, right
+
+
+def lengthened(found: DataFrame, scheme: Scheme, step: int) -> DataFrame:
+    """The contexts cut into runs of windows that can share a longer key, under that key."""
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+        span = scheme.width - scheme.gram
+        for frame in frames:
+            for i in range(0, len(frame), ROWS_PER_BLOCK // 16):
+                out = []
+                for r in frame.iloc[i:i + ROWS_PER_BLOCK // 16].itertuples(index=False):
+                    units, place = scheme.again(r.text), r.shape & 255
+                    for a, z, left, right in cells(place, r.shape >> 8, span, step):
+                        key = xxhash.xxh64_intdigest(
+                            scheme.cut(units, place - left, place + scheme.gram + right), left << 8 | right)
+                        out.append((key - (1 << 64) * (key >> 63), r.gram, r.body, r.at + a, r.n, r.low, r.high,
+                                    (z - a + 1) * 256 + place - a, scheme.cut(units, a, z + scheme.width)))
+                yield pd.DataFrame(out, columns=NAMES)
+    return found.mapInPandas(rows, CONTEXT)
+
+
 MATCH = "gram long, body long, first int, last int, least long"
 
 
 def matches(found: DataFrame, scheme: Scheme) -> DataFrame:
-    """Matched runs of windows per class, whole groups at a time."""
+    """Matched runs of windows per class, whole groups of one key at a time."""
     def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         n = 0
 
         def flush(frame: pd.DataFrame) -> pd.DataFrame:
             row, first, last, least = scheme.match(frame)
+            at = frame["at"].to_numpy()[row]
             return pd.DataFrame({"gram": frame["gram"].to_numpy()[row], "body": frame["body"].to_numpy()[row],
-                                 "first": first.astype(np.int32), "last": last.astype(np.int32), "least": least})
+                                 "first": (at + first).astype(np.int32), "last": (at + last).astype(np.int32),
+                                 "least": least})
         for frame in frames:
             held.append(frame)
             n += len(frame)
             if n < ROWS_PER_BLOCK:
                 continue
             both = pd.concat(held, ignore_index=True)
-            whole = (both["gram"] != both["gram"].iloc[-1]).to_numpy()
+            whole = (both["key"] != both["key"].iloc[-1]).to_numpy()
             if whole.any():
                 yield flush(both[whole].reset_index(drop=True))
                 both = both[~whole].reset_index(drop=True)
             held, n = [both], len(both)
         if held:
             yield flush(pd.concat(held, ignore_index=True))
-    return found.repartition("gram").sortWithinPartitions("gram").mapInPandas(blocks, MATCH)
+    return found.repartition("key").sortWithinPartitions("key").mapInPandas(blocks, MATCH)
 
 
 def window_matches(found: DataFrame, scheme: Scheme) -> DataFrame:
-    """The same for groups of any size: single windows by digest, no group in one task."""
+    """The same under the longest key, the whole window: single windows by digest, no group in one task."""
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
         for frame in frames:
             for i in range(0, len(frame), 256):
                 part, out = frame.iloc[i:i + 256], []
                 for r in part.itertuples(index=False):
-                    for k, w in enumerate(scheme.windows(r.text, r.shape >> 8, scheme.width)):
-                        out.append((r.gram, r.body, k, xxhash.xxh3_128_digest(w), r.n, r.low, r.high))
+                    units = scheme.again(r.text)
+                    for k in range(r.shape >> 8):
+                        digest = xxhash.xxh3_128_digest(scheme.cut(units, k, k + scheme.width))
+                        out.append((r.gram, r.body, r.at + k, digest, r.n, r.low, r.high))
                 yield pd.DataFrame(out, columns=["gram", "body", "k", "digest", "n", "low", "high"])
     single = found.mapInPandas(rows, "gram long, body long, k int, digest binary, n long, low long, high long")
     classes = single.groupBy("digest").agg(F.sum("n").alias("all"), F.min("low").alias("least"))
@@ -223,6 +272,20 @@ def window_matches(found: DataFrame, scheme: Scheme) -> DataFrame:
     return hit.select("gram", "body", F.col("k").alias("first"), F.col("k").alias("last"), "least")
 
 
+def hot_matches(found: DataFrame, scheme: Scheme, max_group: int) -> Iterator[DataFrame]:
+    """Matches of groups that are too large for a task: under longer keys, down to single windows."""
+    for step in scheme.steps:
+        found = written(lengthened(found, scheme, step), "contexts")
+        many = written(found.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+                       .where(F.col("n") > max_group).select("key"), "hot-keys")
+        if many.isEmpty():
+            yield matches(found, scheme)
+            return
+        yield matches(found.join(many, "key", "left_anti"), scheme)
+        found = found.join(many, "key", "left_semi")
+    yield window_matches(found, scheme)
+
+
 def covered(documents: DataFrame, scheme: Scheme, max_group: int = MAX_GROUP) -> DataFrame:
     """doc_id (as text), blob (packed text), runs (start << 32 | end, in units); one row per input row."""
     texts = keyed(documents)
@@ -234,13 +297,17 @@ def covered(documents: DataFrame, scheme: Scheme, max_group: int = MAX_GROUP) ->
     classes = live.groupBy("gram", "body").agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.min(ids), F.lit(NONE)).alias("low"),
         F.coalesce(F.max(ids), F.lit(-NONE)).alias("high"),
-        F.min(one).alias("one"), F.max("times").alias("times"))
+        F.min(one).alias("one"))
     blobs = texts.select("did", "h", "doc_id", packed("text").alias("blob"))
     keys = blobs.drop("doc_id")
-    hits = matches(contexts(classes.where(F.col("times") <= max_group), keys, scheme), scheme)
-    if not often.where(F.col("times") > max_group).isEmpty():
-        hits = hits.unionAll(window_matches(
-            contexts(classes.where(F.col("times") > max_group), keys, scheme), scheme))
+    many = written(live.where(F.col("times") > max_group).select("gram", "body").distinct().groupBy("gram").agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") > max_group).select("gram"), "hot-grams")
+    if many.isEmpty():
+        hits = matches(contexts(classes, keys, scheme), scheme)
+    else:
+        hits = matches(contexts(classes.join(many, "gram", "left_anti"), keys, scheme), scheme)
+        for part in hot_matches(contexts(classes.join(many, "gram", "left_semi"), keys, scheme), scheme, max_group):
+            hits = hits.unionAll(part)
     back = live.select("gram", "body", "did", "h", "pos").join(hits, ["gram", "body"])
     if scheme.ordered:
         back = back.where((F.col("did") != -1 << 63) & (F.col("least") < F.col("did")))

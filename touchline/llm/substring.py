@@ -4,13 +4,13 @@ A word goes if it is covered by a window of ``WIDTH`` words whose word
 sequence also starts in a document with a smaller doc_id; windows are judged
 on the input.
 
-Partition: the suffix that starts with a window is dealt by the hash of the
-window's sampled gram (see ``repeats``), which lies somewhere in its first
-``WIDTH`` words; the words before the gram are not in the key, and no prefix
-is lengthened for a large group. Equal windows pick equal grams and meet in
-one group. Groups are packed into blocks of some ten thousand contexts; one
-with more than ``max_group`` occurrences is not treed but compared window by
-window through a 128-bit digest.
+Partition: the suffix that starts with a window is dealt by a key of variable
+length out of its first ``WIDTH`` words (see ``repeats``): first the window's
+sampled gram, and for a group of more than ``max_group`` texts the words before
+and behind it as well, in two steps, then the whole window. Equal windows have
+equal keys and meet in one group; groups are packed into blocks of bounded
+size. The key is taken around the sampled gram, not from the suffix's first
+word on, so that only one text per run of windows is dealt.
 
 Subtree: each block's suffixes are grown top down, ``EDGE`` words at a time.
 A node is the set of suffixes with one common prefix; those alone in their
@@ -55,9 +55,8 @@ def cut(words: list[bytes], start: int, end: int) -> bytes:
     return b" ".join(words[start:end])
 
 
-def windows(data: bytes, n: int, width: int) -> Iterator[bytes]:
-    words = data.split(b" ")
-    return (b" ".join(words[k:k + width]) for k in range(n))
+def again(data: bytes) -> list[bytes]:
+    return data.split(b" ")
 
 
 def deep_nodes(grid: np.ndarray, row: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -118,7 +117,7 @@ def match(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return row[hit][start], window[hit][start], window[hit][end], least[hit][start]
 
 
-SCHEME = Scheme(WIDTH, GRAM, units, codes, cut, match, windows, ordered=True)
+SCHEME = Scheme(WIDTH, GRAM, units, codes, cut, match, again, (21, 7), ordered=True)
 
 
 def remove_repeats(documents: DataFrame, max_group: int = repeats.MAX_GROUP) -> DataFrame:

@@ -12,8 +12,9 @@ cover sample's rank (every eighth position from the gram, computed beforehand
 by doubling and cut off at the tie's length) and of the bytes on either side
 of it. The ranks tell equal suffixes from different ones, which is all that
 is needed; they are not the order of the suffixes. A block of contexts has
-bounded size, and only one bucket of it is ranked at a time; a gram with more
-than ``max_group`` occurrences goes window by window through a 128-bit digest.
+bounded size, and only one bucket of it is ranked at a time; where more than
+``max_group`` texts share a gram, they are dealt by the bytes around it too,
+in two steps, then by the whole window.
 
 Distances are measured from the gram, so all suffixes of a bucket have the
 same distance to the sample and one residue is cover enough.
@@ -55,8 +56,8 @@ def cut(data: bytes, start: int, end: int) -> bytes:
     return data[start:end]
 
 
-def windows(data: bytes, n: int, width: int) -> Iterator[bytes]:
-    return (data[k:k + width] for k in range(n))
+def again(data: bytes) -> bytes:
+    return data
 
 
 def _laid_out(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,7 +112,7 @@ def match(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return row, start - first[row], end - first[row], np.full(len(row), -1, np.int64)
 
 
-SCHEME = Scheme(WIDTH, GRAM, units, codes, cut, match, windows, ordered=False)
+SCHEME = Scheme(WIDTH, GRAM, units, codes, cut, match, again, (92, 23), ordered=False)
 
 
 def remove_repeats(documents: DataFrame, max_group: int = repeats.MAX_GROUP) -> DataFrame:
