@@ -53,6 +53,61 @@ def test_held_out_accuracy_and_best_path():
         assert tuple(x[:3] for x in model.best(region)) == best[1]
 
 
+def unseen(rng):
+    """Forms that the training generator does not hold, and look-alikes, as (name, kind, string)."""
+    def d(n):
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    def w():
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9)))
+    area, country, trunk, tld = rng.randint(200, 999), rng.randint(30, 99), f"0{rng.randint(1, 9)}", rng.choice(("com", "org", "net"))
+    return [("dotted", "phone", f"{area}.{d(3)}.{d(4)}"), ("spaced", "phone", f"{area} {d(3)} {d(4)}"),
+            ("3-4-4", "phone", f"{trunk}{d(1)} {d(4)} {d(4)}"), ("one", "phone", f"1 {area} {d(3)} {d(4)}"),
+            ("access", "phone", f"00{country} {d(2)} {d(7)}"), ("paren", "phone", f"({trunk}{d(1)}) {d(4)} {d(4)}"),
+            ("slash", "phone", f"{trunk}{d(2)}/{d(7)}"), ("mixed", "phone", f"{area}/{d(3)}-{d(4)}"),
+            ("access apart", "phone", f"00 {country} {d(2)} {d(4)} {d(4)}"),
+            ("plain words", "email", f"{w()} at {w()} dot {tld}"), ("braces", "email", f"{w()} {{at}} {w()} {{dot}} {tld}"),
+            ("capitals", "email", f"{w()}.{w()} AT {w()} DOT {tld}"),
+            ("date", None, f"20{d(2)}-0{rng.randint(1, 9)}-1{d(1)} 1{d(1)}"), ("digits", None, f"{rng.randint(1, 9)}{d(9)}"),
+            ("triples", None, f"{rng.randint(1, 9)} {d(3)} {d(3)} {d(3)}"), ("part", None, f"{d(4)}-{d(4)}-{d(2)}"),
+            ("years", None, f"19{d(2)}-20{d(2)}"), ("prose", None, "look at the dot com boom"),
+            ("book", None, f"{d(1)}-{d(5)}-{d(3)}-{d(1)}")]
+
+
+def test_production_model_finds_unseen_forms_in_documents(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model, rng, hits = P.train(df), random.Random(21), {}
+    texts = [r.text for r in df.where("length(text) BETWEEN 60 AND 4000").orderBy("doc_id").limit(100).collect()]
+    for text in texts:
+        at = text.find(" ", rng.randrange(len(text) // 2))
+        clean = P.find_spans(text, model)[1]
+        for name, kind, string in unseen(rng):
+            if kind and P.base_spans(string):   # 13 digits that happen to pass the Luhn test are a card already
+                continue
+            added = P.find_spans(f"{text[:at]} {string}{text[at:]}", model)[1]
+            inside = [x for x in added if x[1] <= at + len(string) and at < x[2]]
+            good = inside == [(kind, at + 1, at + 1 + len(string))] if kind else not inside
+            hits.setdefault(name, []).append(good and len(added) - len(inside) == len(clean))
+    share = {name: sum(x) / len(x) for name, x in hits.items()}
+    assert len(texts) >= 50 and min(map(len, hits.values())) >= 50
+    assert min(share.values()) >= 0.9, share
+
+
+def test_sample_regions_in_which_more_is_seen_are_not_taught_as_outside():
+    first = P.SemiCrf().fit(P.training_regions([]))
+    texts = ["please call (555) 123-4567 today", "mail a.b@c.org now", "on 2024-05-17 12345678 came"]
+    regions = P.sample_regions(texts, first)
+    assert {r.text for r in regions} == set(texts[1:])
+    taught = P.SemiCrf().fit(P.training_regions([]) + P.sample_regions(texts[:1] * 300, first))
+    assert P.find_spans(texts[0], taught)[1] == [("phone", 12, 26)]
+
+
+def test_long_texts_of_near_marks_stay_cheap():
+    model = P.SemiCrf()
+    for text in ("a at " * 20_000, "x" * 200_000, " dot com" * 20_000, "b at c dot " * 500):
+        assert P.find_spans(text, model)[0] == []
+
+
 def test_query_keeps_base_and_adds_missed(spark, documents):
     df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     model = P.train(df)

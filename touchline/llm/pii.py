@@ -9,17 +9,23 @@ Model: a text is cut into segments, each either one outside token or an
 entity of at most ``MAX_TOKENS`` tokens. A segment's score is a weighted sum
 of features of the whole span (its shape, digit groups, Luhn and octet tests,
 what stands around it), so boundaries and types are chosen together. Entities
-can only lie in regions that hold digits with their separators or an at sign;
+can only lie in regions that hold digits with their separators, an at sign or
+its spelling (``[at]``, or ``at`` before a spelt-out ``dot``);
 outside these every token is an outside segment, so decoding region by region
 gives the best segmentation of the whole text. Forward and backward sums over
 the same segments give each segment's probability; the best segmentation's
 entities of at least ``min_probability`` that touch no base span are added.
 
-Training: log-likelihood by AdaGrad on regions from a bounded sample of
-documents (``sample_docs``, those of least hashed id, labelled by the base
-patterns) and on made-up regions set into their words: the base forms,
-variants the patterns miss, and look-alikes (dates, amounts, serial numbers,
-digests) labelled outside. Everything is seeded.
+Training: log-likelihood by AdaGrad on made-up regions (the base forms,
+variants the patterns miss, and look-alikes such as dates, amounts and serial
+numbers, labelled outside) set into the words of a bounded sample of documents
+(``sample_docs``, those of least hashed id), and on the sample's own regions,
+labelled by the base patterns. What the patterns miss there must not be taught
+as outside: a region of the sample in which a first model, of made-up regions
+alone, sees more than the base spans is left out of training. Features are
+coarse (how a number starts, its digits, groups and last group) or fine (its
+whole shape); fine ones are left out of half of the made-up regions, so that the
+coarse ones carry forms that were not made up. Everything is seeded.
 
 Offsets are code points, ends exclusive. Defined results: a NULL or empty
 text has no spans. Repeated rows each get a row. With an empty table the
@@ -94,6 +100,16 @@ MAX_TOKENS = 24
 MAX_CHARS = 64
 _NUMERIC = re.compile(r"[+(]{0,2}[0-9](?:[\x20().+/-]{0,3}[0-9])*")
 _AT_WORD = re.compile(r"[\[({]\x20?at\x20?[\])}]", re.IGNORECASE | re.ASCII)
+_AT_BARE = re.compile(r"\x20at\x20", re.IGNORECASE | re.ASCII)
+_AT_ANY = re.compile(f"@|{_AT_WORD.pattern}|{_AT_BARE.pattern}", re.IGNORECASE | re.ASCII)
+_BARE_LEFT = re.compile(r"[A-Za-z0-9._%+-]+(?:\x20dot\x20[A-Za-z0-9_-]+)*\Z", re.IGNORECASE | re.ASCII)
+_BARE_RIGHT = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:\x20dot\x20[A-Za-z0-9-]+)+", re.IGNORECASE | re.ASCII)
+_DOT = re.compile(r"\.|[\[({]\x20?dot\x20?[\])}]|\x20dot\x20", re.IGNORECASE | re.ASCII)
+#: Words that stand before and after "at" in plain prose (fixed values).
+_PROSE_LEFT = frozenset("look looked looking looks stop arrive arrived meet met stay is was are were be and or not laugh "
+                        "aim aimed start started work worked point pointed available".split())
+_PROSE_RIGHT = frozenset("the a an this that these those his her its our my your their all least last first once home "
+                         "work any each every some".split())
 _MAIL_LEFT = re.compile(r"[A-Za-z0-9._%+-]+\x20?\Z")
 _MAIL_RIGHT = re.compile(r"\x20?[A-Za-z0-9-]+(?:\x20?(?:\.|[\[({]\x20?dot\x20?[\])}])\x20?[A-Za-z0-9-]+)*",
                          re.IGNORECASE | re.ASCII)
@@ -126,6 +142,11 @@ def region_spans(text: str) -> list[tuple[int, int]]:
     marks = [(i, i + 1) for i in _positions(text, "@")]
     low = text if "at" in text or "AT" in text or "At" in text else ""
     marks += [m.span() for m in _AT_WORD.finditer(low)]
+    for m in _AT_BARE.finditer(low):
+        left = _BARE_LEFT.search(text[max(0, m.start() - MAX_CHARS):m.start()])
+        right = _BARE_RIGHT.match(text[m.end():m.end() + MAX_CHARS])
+        if left and right:
+            out.append((m.start() - len(left[0]), m.end() + right.end()))
     for s, e in marks:
         left = _MAIL_LEFT.search(text[max(0, s - MAX_CHARS):s])
         right = _MAIL_RIGHT.match(text[e:e + MAX_CHARS])
@@ -162,13 +183,18 @@ def _features(text: str, start: int, end: int, kind: str) -> list[str] | None:
     groups = re.findall("[0-9]+", span)
     n = sum(map(len, groups))
     if kind == "email":
-        if "@" not in span and not _AT_WORD.search(span):
+        at = _AT_ANY.search(span)
+        if not at:
             return None
-        local, _, host = span.partition("@") if "@" in span else re.split(_AT_WORD, span, maxsplit=1)[0:1] + ["", ""]
-        host = host or (_AT_WORD.split(span, maxsplit=1) + [""])[1]
-        dots = len(re.findall(r"\.|dot", host, re.IGNORECASE))
-        own = [f"dots:{min(dots, 3)}", f"at:{'@' in span}", f"local:{bool(local.strip())}",
-               f"tld:{bool(re.search('[A-Za-z]{2,}$', span))}", f"inner:{len(re.findall('@', span))}"]
+        how = "sign" if at[0] == "@" else "bare" if at[0].isascii() and at[0][0] == " " else "marked"
+        local, host = span[:at.start()], span[at.end():]
+        labels = _DOT.split(host)
+        own = [f"{how}|dots:{min(len(labels) - 1, 3)}", f"{how}|at", f"local:{bool(local.strip())}",
+               f"tld:{bool(re.search('[A-Za-z]{2,}$', span))}", f"inner:{len(_AT_ANY.findall(span))}",
+               f"gap:{' ' in _DOT.sub('', local.strip()) or any(' ' in x.strip() for x in labels)}",
+               f"{how}|end:{min(len(labels[-1].strip()), 5)}"]
+        if how == "bare":
+            own += [f"prose:{_DOT.split(local)[-1].lower() in _PROSE_LEFT}|{labels[0].lower() in _PROSE_RIGHT}"]
     else:
         if re.search("[^0-9 ().+/-]", span):
             return None
@@ -185,10 +211,20 @@ def _features(text: str, start: int, end: int, kind: str) -> list[str] | None:
         else:
             if not 7 <= n <= 16:
                 return None
-            shape = "-".join(str(min(len(g), 9)) for g in groups[:6])
-            own = [f"plus:{span[0] == '+'}", f"n:{n}", f"paren:{'(' in span and ')' in span}",
-                   f"shape:{shape}", f"sep:{''.join(sorted(set(re.sub('[0-9]', '', span))))}",
-                   f"zero:{span.startswith('0')}", f"one:{len(groups) == 1}"]
+            plain = re.sub(r"\A00[ .-]?(?=[1-9][0-9]?[ .-])", "+", span)  # an access code is read as a plus sign
+            groups = re.findall("[0-9]+", plain)
+            sizes, n = [len(g) for g in groups], sum(map(len, groups))
+            seps = "".join(sorted(set(re.sub("[0-9+()]", "", span.replace(") ", "").replace(")", "")))))
+            lead = next(x for x in ("+", "(0", "(", "0", "1 ", "") if plain.startswith(x) or (
+                x == "1 " and groups[0] == "1"))
+            thousands = sizes[0] <= 3 and set(sizes[1:]) == {3}
+            year = [g for g in groups if len(g) == 4 and g[:2] in ("19", "20") and lead in ("", "1 ")]
+            date = bool(year) and max([len(g) for g in groups if g not in year] or [4]) <= 2
+            own = [f"lead:{lead}", f"n:{n}", f"lead:{lead}|n:{n}", f"last:{min(sizes[-1], 9)}|{lead in ('', '1 ')}",
+                   f"lead:{lead}|groups:{min(len(groups), 6)}", f"long:{min(max(sizes), 9)}|{lead in ('', '1 ')}", f"many:{len(seps) > 1}",
+                   f"shape:{'-'.join(str(min(x, 9)) for x in sizes[:6])}", f"paren:{'(' in span and ')' in span}",
+                   f"thousands:{thousands}", f"date:{date}", f"year:{bool(year)}", f"book:{groups[0] in ('978', '979')}",
+                   f"one:{len(groups) == 1}|{span[:1] == '+'}", f"octets:{span.count('.') >= 3}|{max(sizes) <= 3}"]
     return [f"{kind}|{f}" for f in [*own, *_near(text, start, end), "bias"]]
 
 
@@ -322,29 +358,75 @@ def _made_up(rng: random.Random) -> tuple[str, str | None]:
     bad = str((int(card) + 1) % 10 ** len(card)).zfill(len(card))
     octet = [str(rng.randint(0, 255)) for _ in range(4)]
     at, dot = rng.choice((("[at]", "[dot]"), ("(at)", "(dot)"), (" [at] ", " [dot] "), (" (at) ", " (dot) ")))
+    sizes = rng.choices((1, 2, 3, 4, 5, 6), k=rng.randint(2, 5))
+    serial = rng.choice("123456789") + rng.choice("-- ./").join(d(n) for n in sizes)  # one digit more in its first group
+    if (sizes[0] + 1, *sizes[1:]) in ((3, 4), (3, 3, 4), (1, 3, 3, 4), (4, 4, 4, 4)):
+        serial += d(2)
+    kind = rng.choices(("email", "ip", "card", "phone", None), (3, 1, 2, 6, 7))[0]
+    if kind == "phone":
+        return _phone(rng), kind
+    return rng.choice({
+        "email": (f"{w()}.{d(2)}@{w()}.{tld}", f"{w()}@{w()}.{w()}.{tld}", f"{w()}{at}{w()}{dot}{tld}",
+                  f"{w()}.{w()}{at}{w()}.{tld}", f"{w()} dot {w()} at {w()} dot {tld}", f"{w()}.{w()} at {w()} dot {tld}",
+                  f"{w()}{d(2)} at {w()} dot {w()} dot {tld}"),
+        "ip": (".".join(octet),), "card": (card, spaced(" "), spaced("-")),
+        None: (bad, serial, serial, serial, d(rng.randint(7, 20)), d(16), f"20{d(2)}-0{rng.randint(1, 9)}-1{d(1)}", f"{d(1)}.{d(1)}.{d(2)}.{d(4)}",
+               f"300.{d(3)}.{d(2)}.{d(1)}", f"{d(3)} {d(3)} {d(3)}", f"{d(3)}.{d(3)}.{d(3)}",
+               f"{rng.randint(1, 999)}{rng.choice(' .')}{d(3)} {d(3)} {d(3)}", f"{rng.randint(1, 99)}.{d(3)}.{d(3)}.{d(3)}",
+               f"978-{d(1)}-{d(4)}-{d(4)}-{d(1)}", f"{w()}@{w()}", f"20{d(2)}-20{d(2)} {d(4)}", f"{d(5)}-{d(4)}",
+               f"{w()} [at] {w()}", f"{d(2)}/{d(2)}/20{d(2)} {d(2)}", f"{d(2)}.{d(2)}.20{d(2)}", f"20{d(2)}.{d(2)}.{d(2)}",
+               f"20{d(2)} 20{d(2)} 20{d(2)}", f"{d(3)}-{d(2)}-{d(4)}", f"{d(8)}-{d(4)}-{d(4)}", f"{d(4)}.{d(2)}.{d(2)}.{d(3)}",
+               f"{d(2)}.{d(5)} {d(1)}.{d(5)}", f"{d(2)}-{d(7)}", f"{d(6)} {d(6)}",
+               f"{rng.choice(sorted(_PROSE_LEFT))} at {rng.choice(sorted(_PROSE_RIGHT))} dot {rng.choice((tld, w()))}",
+               f"{w()} at {rng.choice(sorted(_PROSE_RIGHT))} dot {w()}"),
+    }[kind]), kind
+
+
+def _phone(rng: random.Random) -> str:
+    """International, with an access code, with a trunk zero, or in three parts; not every form there is."""
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    area, country, sep = str(rng.randint(200, 999)), str(rng.randint(30, 99)), rng.choice(" -")
+    groups = lambda sizes, by: by.join(d(n) for n in sizes)
+    rest = rng.choice(((3, 7), (3, 3, 4), (2, 8), (4, 6), (1, 2, 2, 2, 2)))
     return rng.choice((
-        (f"{w()}.{d(2)}@{w()}.{tld}", "email"), (f"{w()}@{w()}.{w()}.{tld}", "email"),
-        (f"{w()}{at}{w()}{dot}{tld}", "email"), (f"{w()}.{w()}{at}{w()}.{tld}", "email"),
-        (".".join(octet), "ip"), (".".join(octet), "ip"), (card, "card"), (spaced(" "), "card"), (spaced("-"), "card"),
-        (f"+1 ({area}) {d(3)}-{d(4)}", "phone"), (f"+{rng.randint(30, 99)} {d(3)} {d(7)}", "phone"),
-        (f"+{d(11)}", "phone"), (f"({area}) {d(3)}-{d(4)}", "phone"), (f"{area}-{d(3)}-{d(4)}", "phone"),
-        (f"1-{area}-{d(3)}-{d(4)}", "phone"), (f"({area}) 555-{d(4)}", "phone"),
-        (bad, None), (d(rng.randint(7, 20)), None), (d(16), None), (f"20{d(2)}-0{rng.randint(1, 9)}-1{d(1)}", None),
-        (f"{d(1)}.{d(1)}.{d(2)}.{d(4)}", None), (f"300.{d(3)}.{d(2)}.{d(1)}", None), (f"{d(3)} {d(3)} {d(3)}", None),
-        (f"{d(3)}.{d(3)}.{d(3)}", None), (f"978-{d(1)}-{d(4)}-{d(4)}-{d(1)}", None), (f"{w()}@{w()}", None),
-        (f"20{d(2)}-20{d(2)} {d(4)}", None), (f"{d(5)}-{d(4)}", None), (f"{w()} [at] {w()}", None),
-        (f"{d(2)}/{d(2)}/20{d(2)} {d(2)}", None), (f"{d(8)}-{d(4)}-{d(4)}", None), (f"{d(4)}.{d(2)}.{d(2)}.{d(3)}", None)))
-
-
-def training_regions(texts: list[str], made: int = 900, seed: int = 11) -> list[Region]:
-    """Regions of the sample, labelled by the base patterns, and made-up ones."""
-    rng, out = random.Random(seed), []
+        f"+1 ({area}) {d(3)}-{d(4)}", f"+{country} {d(3)} {d(7)}", f"+{d(11)}", f"+{country} {groups(rest, ' ')}",
+        f"00{country}{sep}{groups(rest, sep)}", f"00{country}.{groups((3, 3, 4), '.')}",
+        "0" + groups(rng.choice(((3, 6), (4, 6), (3, 3, 4), (3, 3, 3), (3, 7), (2, 8),
+                                            (1, 2, 2, 2, 2))), rng.choice(" -.")),
+        f"0{d(1)}{sep}{groups(rng.choice(((8,), (4, 4), (3, 2, 3), (2, 2, 4))), sep)}",
+        f"(0{d(3)}) {groups(rng.choice(((6,), (3, 3), (7,))), ' ')}",
+        f"({area}) {d(3)}-{d(4)}", f"({area}) 555-{d(4)}", f"({area}) {d(3)} {d(4)}", f"({area}) {d(3)}.{d(4)}",
+        f"{area}-{d(3)}-{d(4)}", f"{area} {d(3)}-{d(4)}", f"1-{area}-{d(3)}-{d(4)}", f"1.{area}.{d(3)}.{d(4)}"))
+
+
+def sample_regions(texts: list[str], first: SemiCrf) -> list[Region]:
+    """Regions of the sample, labelled by the base patterns, but for those in which ``first`` sees more."""
+    out = []
     for text in texts:
         base = base_spans(text)
         for s, e in region_spans(text):
             inside = [x for x in base if s <= x[1] and x[2] <= e]
-            if (got := label(build_region(text, s, e), inside)) is not None:
+            region = build_region(text, s, e)
+            more = [(i, j) for i, j, *_ in first.best(region) if not any(
+                x[1] < region.tokens[j - 1][1] and region.tokens[i][0] < x[2] for x in base)]
+            if not more and (got := label(region, inside)) is not None:
                 out.append(got)
+    return out
+
+
+#: Features that name one form (left out of half of the made-up regions).
+FINE = ("phone|shape:", "phone|lead:0|groups:", "phone|lead:+|groups:", "phone|lead:|groups:", "phone|last:")
+
+
+def _blurred(region: Region) -> Region:
+    region.ending = [[(i, t, [f for f in feats if not f.startswith(FINE)]) for i, t, feats in found]
+                     for found in region.ending]
+    return region
+
+
+def training_regions(texts: list[str], made: int = 2400, seed: int = 11) -> list[Region]:
+    """Made-up regions, set into words of the sample."""
+    rng, out = random.Random(seed), []
     words = [w for t in texts for w in t[:2000].split() if w.isalpha()][:20_000] or ["the", "of", "and"]
     cues = {"phone": ("call", "tel", "phone"), "card": ("card", "visa"), "email": ("mail", "contact"),
             "ip": ("host", "server"), None: ("order", "ref", "version")}
@@ -359,17 +441,18 @@ def training_regions(texts: list[str], made: int = 900, seed: int = 11) -> list[
         for s, e in region_spans(text):
             inside = [x for x in spans if s <= x[1] and x[2] <= e]
             if (got := label(build_region(text, s, e), inside)) is not None:
-                out.append(got)
+                out.append(_blurred(got) if rng.random() < 0.5 else got)
     return out
 
 
-def train(documents: DataFrame, sample_docs: int = 300, sample_chars: int = 20_000, made: int = 900) -> SemiCrf:
+def train(documents: DataFrame, sample_docs: int = 300, sample_chars: int = 20_000, made: int = 2400) -> SemiCrf:
     """Fit on a sample of at most ``sample_docs`` documents of at most ``sample_chars`` characters."""
     ids = [r[0] for r in documents.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs).collect()]
     rows = documents.where(F.col("doc_id").isin(ids) & (F.length("text") <= sample_chars)).select("doc_id", "text")
     texts = [r[1] for r in sorted(rows.dropDuplicates(["doc_id"]).collect())] if ids else []
-    return SemiCrf().fit(training_regions(texts, made))
+    made_up = training_regions(texts, made)
+    return SemiCrf().fit(made_up + sample_regions(texts, SemiCrf().fit(made_up)))
 
 
 # --- detection ----------------------------------------------------------------
