@@ -52,6 +52,25 @@ def test_archives_are_plain_gzip_members_and_chunks_join_to_payloads(spark):
     assert [c.n_bytes for c in chunks if c.page_id == 7 and c.last] == [800_000]
 
 
+def test_only_chunks_are_shuffled_and_sorted(spark):
+    """Oversized payloads, also where every join is by shuffle; the plan cuts before it exchanges payloads."""
+    rows = [(k, f"u{k}", ("é" * 90_000 if k % 2 else "b" * 150_000) + str(k // 4)) for k in range(12)]
+    df = spark.createDataFrame(rows, PAGES).repartition(4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        chunks = warc.chunk_rows(df)
+        assert max(len(r.data) for r in chunks.select("data").collect()) <= warc.CHUNK
+        plan = chunks._jdf.queryExecution().sparkPlan().toString()
+        join = plan[plan.index("SortMergeJoin"):]
+        assert "Generate explode" in join
+        got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)
+               for r in warc.round_trip(spark, df).collect()]
+        assert sorted(got, key=str) == expected(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_small_payloads_may_all_be_responses(spark):
     df = spark.createDataFrame([(1, "a", "xx"), (2, "b", "xx"), (3, "c", "yyyyyyyy"), (4, "d", "yyyyyyyy")], PAGES)
     got = {r.page_id: r.record_type for r in warc.round_trip(spark, df, min_revisit_bytes=5).collect()}

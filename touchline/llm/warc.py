@@ -1,7 +1,9 @@
 """WARC archives as a chunked record table.
 
-Writing: payloads are cut into chunk rows (page_id, chunk number, bytes)
-before Python sees them; a writer task streams a record's chunks through one
+Writing: payloads are cut into chunk rows (page_id, start, bytes) where they are
+read, before anything is shuffled, sorted or handed to Python; the chunks meet
+their record's narrow facts (type, response) in a join and are put in order of
+record and start; a writer task streams a record's chunks through one
 compressor into its archive file, one gzip member per record, and never holds
 a whole payload. Each task attempt writes a file of its own under the shared
 folder and lists its records (file, offset, length) in a manifest that Spark
@@ -71,13 +73,16 @@ def chunk_rows(pages: DataFrame, min_revisit_bytes: int = 0, chunk: int = CHUNK)
     raw = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select("page_id", "url", raw.alias("raw"), F.unhex(F.sha1(raw)).alias("own_sha1"),
                         F.monotonically_increasing_id().alias("row"))
-    both = rows.join(types, F.col("page_id").eqNullSafe(F.col("t_page_id")) & (F.col("own_sha1") == F.col("sha1")))
-    size = F.when(F.col("response_id").isNotNull(), 0).otherwise(F.col("n_bytes"))
-    starts = F.sequence(F.lit(0).cast("long"), F.greatest(size - 1, F.lit(0).cast("long")), F.lit(chunk).cast("long"))
-    return (both.withColumn("start", F.explode(starts))
-            .select("row", "page_id", "url", "sha1", "n_bytes", "response_id", "start",
-                    F.when(F.col("response_id").isNull(), F.substring("raw", F.col("start").cast("int") + 1, F.lit(chunk)))
-                    .otherwise(F.lit(b"")).alias("data")))
+    last = F.greatest(F.octet_length("raw") - 1, F.lit(0)).cast("long")
+    parts = F.transform(F.sequence(F.lit(0).cast("long"), last, F.lit(chunk).cast("long")), lambda s: F.struct(
+        s.alias("start"), F.substring("raw", s.cast("int") + 1, F.lit(chunk)).alias("data")))
+    # Cut first: what the join moves and sorts are chunks, never whole payloads.
+    chunks = rows.select("row", "page_id", "url", "own_sha1", F.explode(parts).alias("part"))
+    both = chunks.join(types, F.col("page_id").eqNullSafe(F.col("t_page_id")) & (F.col("own_sha1") == F.col("sha1")))
+    own = F.col("response_id").isNull()
+    return (both.where(own | (F.col("part.start") == 0))
+            .select("row", "page_id", "url", "sha1", "n_bytes", "response_id", F.col("part.start").alias("start"),
+                    F.when(own, F.col("part.data")).otherwise(F.lit(b"")).alias("data")))
 
 
 def _open(root: str):
@@ -146,8 +151,8 @@ def write_archives(pages: DataFrame, root: str, min_revisit_bytes: int = 0, leve
     # Ids go through Python as text: beside a NULL, pandas would round numbers.
     chunks = chunk_rows(pages, min_revisit_bytes).withColumns(
         {c: F.col(c).cast("string") for c in ("page_id", "response_id")})
-    # A record's chunks come from one row, so they stand together in one task.
-    return written(chunks.mapInPandas(write, MANIFEST), "warc-manifest")
+    # A record's chunks come from one row, thus one map task and one key: they meet in one task.
+    return written(chunks.sortWithinPartitions("row", "start").mapInPandas(write, MANIFEST), "warc-manifest")
 
 
 class _Member:
