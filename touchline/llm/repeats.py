@@ -306,7 +306,12 @@ def covered(documents: DataFrame, scheme: Scheme, max_group: int = MAX_GROUP) ->
         hits = matches(contexts(classes, keys, scheme), scheme)
     else:
         hits = matches(contexts(classes.join(many, "gram", "left_anti"), keys, scheme), scheme)
-        for part in hot_matches(contexts(classes.join(many, "gram", "left_semi"), keys, scheme), scheme, max_group):
+        hot = classes.join(many, "gram", "left_semi")
+        # Only texts that hold one of these contexts are packed and moved again.
+        own = written(hot, "hot-classes")
+        held = texts.join(own.select("one.did", "one.h").distinct(), ["did", "h"], "left_semi")
+        hot_keys = held.select("did", "h", packed("text").alias("blob"))
+        for part in hot_matches(contexts(own, hot_keys, scheme), scheme, max_group):
             hits = hits.unionAll(part)
     back = live.select("gram", "body", "did", "h", "pos").join(hits, ["gram", "body"])
     if scheme.ordered:
