@@ -9,7 +9,7 @@ from touchline.operators import dims, reports
 from touchline.plans import marts
 from touchline.plans.json_proxy import JsonProxy
 from touchline.plans.proxy import ProxyStar
-from touchline.plans.proxy_envelopes import ProxyEnvelopes
+from touchline.plans.proxy_envelopes import ProxyEnvelopes, write_documents
 from touchline.schemas import ENDPOINT_FIXTURES, ENDPOINT_PLAYERS, ENDPOINT_STATISTICS, ENDPOINT_TEAMS
 from touchline.session import scratch_path
 from touchline.sources import drift, warehouse
@@ -147,10 +147,10 @@ def ingested_team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = (whole.select(F.when(fixture % 4 == 0, wrong).otherwise(F.col("doc")).alias("doc")),
             whole.where(fixture % 4 == 0))
     for n, sent in enumerate(runs):
-        sent.write.mode("append").text(f"{root}/landing/run={n}")
+        write_documents(sent, f"{root}/landing/run={n}", mode="append")
         inc.ingest_envelopes(spark, f"{root}/landing/*", ENDPOINT_STATISTICS, f"{root}/table", f"{root}/quarantine",
                              f"{root}/checkpoint", inc.statistics_rows, ["Fixture_ID", "Team_ID"], "Fixture_ID_Range",
-                             ["Fixture_ID"], glob="*.txt", multiline=False)
+                             ["Fixture_ID"], glob="*.txt.gz", multiline=False)
     return spark.read.parquet(f"{root}/table").drop("Fixture_ID_Range", inc.SOURCE_MTIME, inc.SOURCE_FILE)
 
 
