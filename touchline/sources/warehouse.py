@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.schemas import STAR_DDL, star_schema
+from touchline.session import open_partitions
 from touchline.sources.tables import catalog_table
 from touchline.star import STAR_TABLES, Star
 
@@ -155,13 +156,18 @@ def _with_season(star, name: str) -> DataFrame:
         *star_schema(name).fieldNames(), "Season_ID")
 
 
+#: Partitions (seasons) that a writing task holds open; with more it sorts its rows by season.
+SEASONS_OPEN = 16
+
+
 def save_counted(df: DataFrame, table: str, path: str, partition_by: str | None = None) -> int:
     """K4/K5: write a catalog table at ``path``; the rows written are counted on the way."""
     seen = Observation(table.replace(".", "_"))
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("path", path)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(table)
+    with open_partitions(df.sparkSession, SEASONS_OPEN):
+        writer.saveAsTable(table)
     return seen.get["rows"]
 
 
@@ -176,6 +182,15 @@ def save_star_tables(star, database: str, root: str) -> dict[str, int]:
     return rows
 
 
+#: Rows of the largest table that one bucket takes, sorted in one task.
+BUCKET_ROWS = 500_000
+
+
+def bucket_count(rows: int, least: int = 8) -> int:
+    """Buckets for a star whose largest table has ``rows`` rows: a bucket stays the same size as tables grow."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 #: Tables that are bucketed by fixture.
 FIXTURE_TABLES = ("dim_fixtures", "fact_player", "fact_team")
 
