@@ -6,6 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from touchline.functions.coerce import lenient_int
+from touchline.plans.proxy import ProxyStar
 from touchline.plans.proxy_envelopes import write_documents
 from touchline.schemas import CORRUPT_COLUMN, ENDPOINT_TEAMS
 from touchline.sources import warehouse
@@ -94,3 +95,18 @@ def test_staging_does_not_sort_documents(spark, scratch):
     counts = {r[0]: r[1] for r in spark.read.parquet(scratch).groupBy("_status").count().collect()}
     assert counts == {"valid": 3200, "quarantine": 800}
     assert "Sort" not in _written_plan(spark, scratch)
+
+
+def test_sides_of_a_fixture_are_dealt_narrow(spark, scratch):
+    """Rows are dealt by order before the wide aggregate, also with a hot order and keys that are NULL."""
+    rows = [(1, 7, 1, 10.0), (1, 7, 2, 5.0), (1, 9, 3, 2.0), (1, 8, 4, 50.0), (2, 4, 1, 3.0), (None, 5, 1, 1.0),
+            (None, 6, 2, 2.0), (3, 2, 1, 4.0), (3, None, 2, 9.0), (3, 1, 3, None)] + [(4, i % 40, i, 1.0) for i in range(400)]
+    spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double") \
+        .write.parquet(f"{scratch}/lineitem.parquet")
+    sides = ProxyStar(spark, scratch).fixture_sides
+    columns = ["Fixture_ID", "Home_Team_ID", "Away_Team_ID", "h_qty", "a_qty", "h_n", "a_n", "h_lines", "a_lines"]
+    assert {tuple(r) for r in sides.select(*columns).collect()} == {
+        (1, 7, 9, 15, 2, 2, 1, 3, 3), (None, 5, 6, 1, 2, 1, 1, 1, 2), (3, 1, 2, None, 4, 1, 1, 3, 1),
+        (4, 0, 39, 10, 10, 10, 10, 1800, 2190)}
+    plan = sides._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("partial_min_by") < plan.index("Exchange hashpartitioning(Fixture_ID")
