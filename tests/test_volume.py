@@ -9,7 +9,7 @@ from touchline.functions.coerce import lenient_int
 from touchline.plans.proxy import ProxyStar
 from touchline.plans.proxy_envelopes import write_documents
 from touchline.schemas import CORRUPT_COLUMN, ENDPOINT_TEAMS
-from touchline.sources import warehouse
+from touchline.sources import envelopes, warehouse
 from touchline.sources.envelopes import stage_envelopes
 from touchline.streaming import incremental as inc
 
@@ -97,6 +97,21 @@ def test_staging_does_not_sort_documents(spark, scratch):
     assert "Sort" not in _written_plan(spark, scratch)
 
 
+def test_staged_files_hold_a_bounded_number_of_documents(spark, scratch, monkeypatch):
+    """A task reads a few dozen staged files at most, so few documents a file are few rows to group in it."""
+    monkeypatch.setattr(envelopes, "STAGED_DOCUMENTS", 1000)
+    docs = spark.range(4500).select(
+        F.when(F.col("id") % 5 == 0, "fixtures").otherwise(ENDPOINT_TEAMS).alias("get"), F.col("id").alias("n"),
+        F.expr("cast(null as array<struct<team: struct<id: bigint>>>)").alias("response"),
+        F.lit(None).cast("string").alias(CORRUPT_COLUMN)).coalesce(1)
+    stage_envelopes(docs, ENDPOINT_TEAMS, scratch)
+    sizes = sorted(spark.read.parquet(path).count() for path in _files(scratch))
+    assert sizes == [600, 900, 1000, 1000, 1000]
+    staged = spark.read.parquet(scratch)
+    assert staged.select("n").distinct().count() == 4500
+    assert staged.where(F.col("_status") == "quarantine").count() == 900
+
+
 def test_sides_of_a_fixture_are_dealt_narrow(spark, scratch):
     """Rows are dealt by order before the wide aggregate, also with a hot order and keys that are NULL."""
     rows = [(1, 7, 1, 10.0), (1, 7, 2, 5.0), (1, 9, 3, 2.0), (1, 8, 4, 50.0), (2, 4, 1, 3.0), (None, 5, 1, 1.0),
