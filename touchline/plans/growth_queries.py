@@ -142,6 +142,7 @@ def upsert_equal_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingested_team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Team statistics through the file stream, in two runs: all documents, then a part of them again."""
     docs, root = ProxyEnvelopes(ProxyStar(spark, sf_dir)), scratch_path(spark, "ingest-stats")
+    docs.stage_sides(f"{root}/sides")
     whole = docs.docs(ENDPOINT_STATISTICS)
     fixture = F.get_json_object("doc", "$.parameters.fixture").cast("long")
     wrong = F.regexp_replace("doc", r'(?<="type":"Fouls","value":)\d+', "99")
